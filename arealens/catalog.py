@@ -23,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REPORT_YEAR = 2000
 REPORT_WINDOW = (1996, 2000)
 CHART_YEARS = (1998, 2001)
+SELECTED_COUNTRIES = ["AA", "AF", "BB", "BG", "CC", "DD", "EE"]
 MAP_METRIC = "total_emissions_kt"
 HEALTH_METRIC = "cod_copd_rate"
 
@@ -185,9 +186,7 @@ _stored("harmonization_window")(lambda w: profile.harmonization_window(_by_sourc
 
 _stored("dash_slice")(lambda w: dashboard.dashboard_slice(w.curated))
 _stored("dash_slice_selected")(
-    lambda w: dashboard.dashboard_slice(
-        w.curated, REPORT_YEAR, countries=["AA", "AF", "BC", "CD"], regions=["AA10", "AF21", "BC02", "CD11"]
-    )
+    lambda w: dashboard.dashboard_slice(w.curated, REPORT_YEAR, countries=SELECTED_COUNTRIES)
 )
 _stored("dash_top_bottom")(
     lambda w: dashboard.top_and_bottom_regions(dashboard.dashboard_slice(w.curated, REPORT_YEAR), HEALTH_METRIC)
