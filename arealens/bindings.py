@@ -51,17 +51,19 @@ class Sources:
     def __init__(self, spark: SparkSession, folder: str):
         self._spark = spark
         self._folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def _table(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def regions(self) -> DataFrame:
         """Customer -> region code and country."""
-        key = F.col("c_custkey")
 
         def digit(divisor: int, base: int) -> Column:
-            return (F.floor(key / divisor).cast("int") % base).cast("string")
+            return F.expr(f"cast(c_custkey div {divisor} % {base} as string)")
 
         code = F.concat(
             F.char(65 + F.col("n_regionkey")), F.char(65 + F.col("n_nationkey")), digit(1, 3), digit(3, 3), digit(9, 4)
@@ -73,7 +75,7 @@ class Sources:
                 "c_custkey",
                 "n_nationkey",
                 F.col("n_name").alias("country_name"),
-                F.substring(code, F.lit(1), (2 + key % 4).cast("int")).alias("nuts_id"),
+                F.substring(code, F.lit(1), (2 + F.col("c_custkey") % 4).cast("int")).alias("nuts_id"),
             )
         )
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import region_level
+from ..functions.codes import strip
 
 # The annual totals of a source, by raw and by tidy column name.
 POPULATION_STRATUM = {"freq": "A", "unit": "NR", "sex": "T", "age": "TOTAL"}
@@ -27,8 +27,15 @@ def standard_stratum(
 
 
 def only_level(df: DataFrame, level: int | None, code_column: str = "nuts_id") -> DataFrame:
-    """Keep one regional level; ``None`` keeps all."""
-    return df if level is None else df.filter(region_level(F.col(code_column)) == level)
+    """Keep one regional level; ``None`` keeps all.
+
+    Tests the code length itself, which is a shorter predicate to push down than the level.
+    """
+    if level is None:
+        return df
+    size = F.length(strip(F.col(code_column)))
+    sizes = {0: 2, 1: 3, 2: 4}
+    return df.filter(size == sizes[level] if level in sizes else ~size.isin(*sizes.values()))
 
 
 def drop_null_codes(df: DataFrame, *columns: str) -> DataFrame:

@@ -29,10 +29,13 @@ def dense_ids(df: DataFrame, code: str, id_column: str, prefix_length: int = 2)
     """Number distinct codes 1..n in code order without sorting them in one task.
 
     Codes are numbered inside their prefix, and each prefix starts after the codes of all smaller
-    prefixes. Only one row per prefix goes through the single-task running sum.
+    prefixes. Only one row per prefix goes through the single-task running sum. The codes are
+    referenced twice; both references need the same rows and columns of the distinct step before,
+    so Spark runs that step, and the scan under it, once.
     """
     prefix = "_prefix"
-    keyed = df.withColumn(prefix, F.substring(code, 1, prefix_length))
+    keyed = df.filter(F.col(code).isNotNull()).withColumn(prefix, F.substring(code, 1, prefix_length))
+    keyed = keyed.filter(F.col(prefix).isNotNull())
     before = Window.orderBy(prefix).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         keyed.groupBy(prefix)

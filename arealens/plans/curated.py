@@ -30,32 +30,31 @@ def _first_label(label: str, order: str | None):
 def emissions_by_region_year(emissions: DataFrame) -> DataFrame:
     """Total and per-group emissions with the first known label, country code and country name.
 
-    Totals and groups come from one aggregation. Rows are first reduced to one per region, year and
-    label combination, where the labels are grouping keys: string aggregates would force Spark from
-    hash to sort aggregation over all rows, this way they only see the reduced ones.
+    Rows are first reduced to one per region, year, label combination and sector group with a single
+    sum; totals, groups and labels then come from one aggregation over those few rows. Labels are
+    grouping keys in the first step because a string aggregate would force Spark from hash to sort
+    aggregation over all rows.
     """
     order = SOURCE_ORDER if SOURCE_ORDER in emissions.columns else None
-    groups = {g: sector_column(g) for g in SECTOR_GROUP_NAMES}
-    kt = as_exact(F.col("emissions_kt_co2e"))
-    sums = {"_total": kt} | {
-        f"_{column}": F.when(F.col("sector_group") == group, kt) for group, column in groups.items()
-    }
     reduced = (
         drop_null_codes(emissions, *KEYS)
-        .groupBy(*KEYS, *REGION_LABELS)
+        .groupBy(*KEYS, *REGION_LABELS, "sector_group")
         .agg(
-            *[F.sum(expr).alias(name) for name, expr in sums.items()],
+            F.sum(as_exact(F.col("emissions_kt_co2e"))).alias("_kt"),
             *([F.min(order).alias("_first")] if order else []),
         )
     )
 
-    def total(name: str):
-        return F.coalesce(F.sum(name).cast("double"), F.lit(0.0))
+    def total(kt):
+        return F.coalesce(F.sum(kt).cast("double"), F.lit(0.0))
 
     return reduced.groupBy(*KEYS).agg(
         *[_first_label(label, order) for label in REGION_LABELS],
-        total("_total").alias("total_emissions_kt"),
-        *[total(f"_{column}").alias(column) for column in groups.values()],
+        total(F.col("_kt")).alias("total_emissions_kt"),
+        *[
+            total(F.when(F.col("sector_group") == group, F.col("_kt"))).alias(sector_column(group))
+            for group in SECTOR_GROUP_NAMES
+        ],
     )
 
 

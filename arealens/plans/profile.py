@@ -32,6 +32,20 @@ def _stats(row: DataFrame, source: str) -> DataFrame:
     return doubles.unpivot([], row.columns, "stat", "value").select(F.lit(source).alias("source"), "stat", "value")
 
 
+def _distinct_counts(df: DataFrame, columns: list[str], distinct: Mapping[str, str]) -> tuple[DataFrame, list[Column]]:
+    """Row counts per combination of the columns, and the aggregates over those combinations.
+
+    Several distinct counts over the rows would make Spark copy every row once per count; over the
+    few combinations of codes the copies do not matter.
+    """
+    combinations = df.groupBy(*dict.fromkeys(columns)).agg(F.count(F.lit(1)).alias("_n"))
+    counts = [
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        *[F.count_distinct(c).alias(name) for name, c in distinct.items()],
+    ]
+    return combinations, counts
+
+
 def source_summary(df: DataFrame, source: str, distinct: Mapping[str, str]) -> DataFrame:
     """Rows, years of the headers, and distinct values of chosen columns of a wide raw table.
 
@@ -39,26 +53,25 @@ def source_summary(df: DataFrame, source: str, distinct: Mapping[str, str]) -> D
     """
     raw = raw_dimensions(df)
     years = sorted(year_columns(raw.columns).values())
-    geo = F.col("geo")
-    row = raw.agg(
-        F.count(F.lit(1)).alias("rows"),
+    combinations, counts = _distinct_counts(raw, [*distinct.values(), "geo"], distinct)
+    row = combinations.agg(
+        *counts,
+        F.count_distinct(F.when(F.length("geo") == 4, F.col("geo"))).alias("level2_codes"),
         F.lit(years[0]).alias("first_year"),
         F.lit(years[-1]).alias("last_year"),
         F.lit(len(years)).alias("n_years"),
-        *[F.count_distinct(c).alias(name) for name, c in distinct.items()],
-        F.count_distinct(F.when(F.length("geo") == 4, geo)).alias("level2_codes"),
     )
     return _stats(row, source)
 
 
 def tidy_summary(df: DataFrame, source: str, distinct: Mapping[str, str]) -> DataFrame:
     """The same summary for a tidy table, where the years are rows."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"),
+    combinations, counts = _distinct_counts(df, [*distinct.values(), "year"], distinct)
+    row = combinations.agg(
+        *counts,
         F.min("year").alias("first_year"),
         F.max("year").alias("last_year"),
         F.count_distinct("year").alias("n_years"),
-        *[F.count_distinct(c).alias(name) for name, c in distinct.items()],
     )
     return _stats(row, source)
 

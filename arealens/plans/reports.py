@@ -15,15 +15,20 @@ from .warehouse import Star
 REGION_YEAR = ["geography_id", "time_id"]
 
 
-def _years(star: Star, first: int | None = None, last: int | None = None) -> DataFrame:
-    return between_years(star.dim_time, first, last).select("time_id", "year")
+def _of_years(star: Star, fact: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Fact rows of the years with the year attached.
+
+    The time key is the year, so the range also filters the fact itself, in its scan.
+    """
+    years = between_years(star.dim_time, first, last).select("time_id", "year")
+    return between_years(fact, first, last, "time_id").join(years, "time_id")
 
 
 def emissions_by_country_year(star: Star) -> DataFrame:
     per_region = star.fact_emissions.groupBy(*REGION_YEAR).agg(F.sum(as_exact(F.col("emissions_kt_co2e"))).alias("_kt"))
     return (
-        per_region.join(star.dim_geography.select("geography_id", "country_name"), "geography_id")
-        .join(_years(star), "time_id")
+        _of_years(star, per_region)
+        .join(star.dim_geography.select("geography_id", "country_name"), "geography_id")
         .groupBy("country_name", "year")
         .agg(F.sum("_kt").cast("double").alias("total_emissions_kt"))
         .orderBy("country_name", "year")
@@ -34,7 +39,7 @@ def respiratory_rates(star: Star, year: int) -> DataFrame:
     """Respiratory death rates of one year, highest first."""
     causes = star.dim_icd10_cod.filter("is_respiratory = 1").select("icd10_cod_id", "icd10_name")
     return (
-        star.fact_causes_of_death.join(_years(star, year, year), "time_id")
+        _of_years(star, star.fact_causes_of_death, year, year)
         .join(causes, "icd10_cod_id")
         .join(star.dim_geography.select("geography_id", "nuts_label", "country_name"), "geography_id")
         .select("nuts_label", "country_name", "icd10_name", "age_standardised_rate_per_100k")
@@ -49,12 +54,13 @@ def emissions_against_mortality(star: Star, first_year: int, last_year: int, cau
     grain is unique, hence no further grouping by the rate.
     """
     emissions = (
-        star.fact_emissions.join(_years(star, first_year, last_year), "time_id")
+        _of_years(star, star.fact_emissions, first_year, last_year)
         .groupBy(*REGION_YEAR, "year")
         .agg(exact_sum(F.col("emissions_kt_co2e")).alias("total_emissions_kt"))
     )
     wanted = star.dim_icd10_cod.filter(F.col("icd10_code") == cause).select("icd10_cod_id")
-    rates = star.fact_causes_of_death.join(wanted, "icd10_cod_id", "left_semi").select(
+    rates = between_years(star.fact_causes_of_death, first_year, last_year, "time_id")
+    rates = rates.join(wanted, "icd10_cod_id", "left_semi").select(
         *REGION_YEAR, F.col("age_standardised_rate_per_100k").alias("cod_all_resp_rate")
     )
     return (
@@ -72,11 +78,11 @@ def per_capita_by_sector(star: Star, year: int) -> DataFrame:
     reduced to region and sector with their number, which gives the same sums from fewer join rows.
     """
     reduced = (
-        star.fact_emissions.join(_years(star, year, year).select("time_id"), "time_id")
+        _of_years(star, star.fact_emissions, year, year)
         .groupBy(*REGION_YEAR, "sector_id")
         .agg(F.sum(as_exact(F.col("emissions_kt_co2e"))).alias("_kt"), F.count(F.lit(1)).alias("_rows"))
     )
-    people = star.fact_population.select(*REGION_YEAR, "population")
+    people = between_years(star.fact_population, year, year, "time_id").select(*REGION_YEAR, "population")
     totals = (
         reduced.join(people, REGION_YEAR)
         .join(star.dim_sector.select("sector_id", "sector_name", "sector_group"), "sector_id")
@@ -96,7 +102,7 @@ def discharge_rates_by_country(star: Star, year: int) -> DataFrame:
     """Respiratory discharges and mean rate by country and type in one year."""
     types = star.dim_discharge_type.filter("is_respiratory = 1").select("discharge_type_id", "discharge_name")
     return (
-        star.fact_hospital_discharges.join(_years(star, year, year), "time_id")
+        _of_years(star, star.fact_hospital_discharges, year, year)
         .join(types, "discharge_type_id")
         .join(star.dim_geography.select("geography_id", "country_name"), "geography_id")
         .groupBy("country_name", "discharge_name")

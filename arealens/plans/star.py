@@ -56,10 +56,12 @@ class Tidy:
 def _region_attributes(emissions: DataFrame) -> DataFrame:
     """First label and first located country per region, from the emission rows."""
     attributes = ["nuts_label", "country_iso", "country_name"]
-    ordered = SOURCE_ORDER in emissions.columns
-    position = F.min(SOURCE_ORDER) if ordered else F.min(F.struct(*attributes))
+    rows = drop_null_codes(emissions, "nuts_id")
     # Distinct attribute sets first (hash aggregation), then the first of the few sets per region.
-    distinct = drop_null_codes(emissions, "nuts_id").groupBy("nuts_id", *attributes).agg(position.alias("_ord"))
+    if SOURCE_ORDER in emissions.columns:
+        distinct = rows.groupBy("nuts_id", *attributes).agg(F.min(SOURCE_ORDER).alias("_ord"))
+    else:
+        distinct = rows.select("nuts_id", *attributes).distinct().withColumn("_ord", F.struct(*attributes))
     country = F.struct("country_iso", "country_name")
     located = F.col("country_iso").isNotNull()
     return (
@@ -153,58 +155,60 @@ def dim_sector(emissions: DataFrame) -> DataFrame:
         .distinct()
         .groupBy("sector_code")
         .agg(F.min("sector_group").alias("sector_group"))
+        .dropna(subset=["sector_group"])
     )
-    return dense_ids(
-        sectors.select(
-            "sector_code",
-            F.col("sector_code").alias("sector_name"),
-            "sector_group",
-            F.lit(None).cast("string").alias("sector_description"),
-            F.lit(1).alias("is_active"),
-        ),
-        "sector_code",
+    return dense_ids(sectors, "sector_code", "sector_id").select(
         "sector_id",
+        "sector_code",
+        F.col("sector_code").alias("sector_name"),
+        "sector_group",
+        F.lit(None).cast("string").alias("sector_description"),
+        F.lit(1).alias("is_active"),
     )
 
 
+def _numbered_codes(df: DataFrame, column: str, code: str, key: str) -> DataFrame:
+    """Distinct codes of a column with their key. Attributes are derived afterwards, per code."""
+    codes = drop_null_codes(df, column).select(F.col(column).alias(code)).distinct()
+    return dense_ids(codes, code, key)
+
+
 def dim_gas(emissions: DataFrame) -> DataFrame:
-    gases = drop_null_codes(emissions, "gas").select(F.col("gas").alias("gas_code")).distinct()
-    described = gases.withColumn("_info", gas_info(F.col("gas_code"))).select(
-        "gas_code", "_info.*", F.lit(1).alias("is_active")
+    gases = _numbered_codes(emissions, "gas", "gas_code", "gas_id")
+    return gases.withColumn("_info", gas_info(F.col("gas_code"))).select(
+        "gas_id", "gas_code", "_info.*", F.lit(1).alias("is_active")
     )
-    return dense_ids(described, "gas_code", "gas_id")
 
 
-def _icd10_codes(df: DataFrame, code: str) -> DataFrame:
-    codes = drop_null_codes(df, "icd10_group").select(F.col("icd10_group").alias(code)).distinct()
+def _described(codes: DataFrame, code: str) -> DataFrame:
     return codes.withColumns({"_name": icd10_name(F.col(code)), "_category": icd10_category(F.col(code))})
 
 
 def dim_icd10_cod(causes: DataFrame) -> DataFrame:
-    code = F.col("icd10_code")
-    described = _icd10_codes(causes, "icd10_code").select(
-        code,
+    codes = _numbered_codes(causes, "icd10_group", "icd10_code", "icd10_cod_id")
+    return _described(codes, "icd10_code").select(
+        "icd10_cod_id",
+        "icd10_code",
         F.col("_name").alias("icd10_name"),
         F.col("_category").alias("icd10_category"),
         icd10_description(F.col("_name"), F.col("_category")).alias("icd10_description"),
-        icd10_is_respiratory(code).alias("is_respiratory"),
+        icd10_is_respiratory(F.col("icd10_code")).alias("is_respiratory"),
         F.lit(1).alias("is_active"),
     )
-    return dense_ids(described, "icd10_code", "icd10_cod_id")
 
 
 def dim_discharge_type(discharges: DataFrame) -> DataFrame:
-    code = F.col("discharge_code")
-    described = _icd10_codes(discharges, "discharge_code").select(
-        code,
+    codes = _numbered_codes(discharges, "icd10_group", "discharge_code", "discharge_type_id")
+    return _described(codes, "discharge_code").select(
+        "discharge_type_id",
+        "discharge_code",
         F.col("_name").alias("discharge_name"),
         F.col("_category").alias("discharge_category"),
-        code.alias("icd10_codes"),
+        F.col("discharge_code").alias("icd10_codes"),
         icd10_description(F.col("_name"), F.col("_category")).alias("discharge_description"),
-        icd10_is_respiratory(code).alias("is_respiratory"),
+        icd10_is_respiratory(F.col("discharge_code")).alias("is_respiratory"),
         F.lit(1).alias("is_active"),
     )
-    return dense_ids(described, "discharge_code", "discharge_type_id")
 
 
 # --- facts ------------------------------------------------------------------------------------

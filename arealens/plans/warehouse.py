@@ -144,16 +144,19 @@ def load_star(
     level_only: int | None = None,
     stratum: str = "first",
     stamp: bool = True,
+    by_year: bool = False,
 ) -> Star:
     """Full refresh of all star tables under ``root``.
 
     Whole tables are replaced, so a load can be repeated. Each table is read back from its files:
     later joins then know its size, and a lost executor costs a re-read, not a recomputation.
+    ``by_year`` lays the facts out in one folder per year, for facts large enough to fill them; year
+    filters then skip whole folders.
     """
 
     def store(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{root}/{name}"
-        write_table(build(), path, stamp=stamp)
+        write_table(build(), path, stamp, partition_by=("time_id",) if by_year and name in FACTS else ())
         return read_table(spark, path)
 
     loaded = Star(tidy, level_only, stratum, keep=store)
