@@ -51,6 +51,11 @@ def round_half_even(value: Column, digits: int = 2) -> Column:
 
 
 def pearson(x: Column, y: Column) -> Column:
-    """Pearson correlation over complete pairs; NULL where a side does not vary."""
-    r = F.corr(x, y)
-    return F.when(~F.isnan(r), r)
+    """Pearson correlation over complete pairs; NULL where a side does not vary.
+
+    Written with its moments because the built-in ``corr`` divides by the deviations and fails on a
+    constant side in ANSI mode.
+    """
+    paired_x = F.when(y.isNotNull(), x)
+    paired_y = F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(paired_x) * F.stddev_pop(paired_y))

@@ -5,23 +5,45 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, type_) for name, type_ in columns.items()])
 
 
+_TEXT, _INT, _DOUBLE = T.StringType(), T.IntegerType(), T.DoubleType()
+
 EMISSIONS = _schema(
-    "nuts_id string, nuts_label string, country_iso string, country_name string, year int, "
-    "gas string, sector string, sector_group string, emissions_kt_co2e double"
+    nuts_id=_TEXT,
+    nuts_label=_TEXT,
+    country_iso=_TEXT,
+    country_name=_TEXT,
+    year=_INT,
+    gas=_TEXT,
+    sector=_TEXT,
+    sector_group=_TEXT,
+    emissions_kt_co2e=_DOUBLE,
 )
 CAUSES = _schema(
-    "nuts_id string, year int, frequency string, unit_code string, sex string, age_group string, "
-    "icd10_group string, age_standardised_rate_per_100k double"
+    nuts_id=_TEXT,
+    year=_INT,
+    frequency=_TEXT,
+    unit_code=_TEXT,
+    sex=_TEXT,
+    age_group=_TEXT,
+    icd10_group=_TEXT,
+    age_standardised_rate_per_100k=_DOUBLE,
 )
 DISCHARGES = _schema(
-    "nuts_id string, year int, frequency string, indicator string, unit_code string, sex string, "
-    "age_group string, icd10_group string, discharges double"
+    nuts_id=_TEXT,
+    year=_INT,
+    frequency=_TEXT,
+    indicator=_TEXT,
+    unit_code=_TEXT,
+    sex=_TEXT,
+    age_group=_TEXT,
+    icd10_group=_TEXT,
+    discharges=_DOUBLE,
 )
-POPULATION = _schema("geo string, year int, population double")
+POPULATION = _schema(geo=_TEXT, year=_INT, population=_DOUBLE)
 
 # Optional extra column of a tidy table: the position of the row in its source. Steps that keep
 # "the first row" order by it.

@@ -9,7 +9,6 @@ then run lazily from the sources.
 
 from __future__ import annotations
 
-import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -42,11 +41,13 @@ class Workspace:
         self._spark = spark
         self.sources = Sources(spark, folder)
         shared = shared_folder(spark)
-        name = hashlib.sha256(folder.encode()).hexdigest()[:12]
-        self._root = shared and f"{shared.rstrip('/')}/arealens/{uuid.uuid4().hex}/{name}"
+        self._root = shared and f"{shared.rstrip('/')}/arealens-{uuid.uuid4().hex}"
         if self._root:
+            # The session's own folder goes when the session ends.
             path = spark._jvm.org.apache.hadoop.fs.Path(self._root)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+            files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+            files.mkdirs(path)
+            files.deleteOnExit(path)
 
     def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if not self._root:
