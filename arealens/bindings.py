@@ -98,8 +98,10 @@ class Sources:
         located = orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select(
             "o_orderkey", "nuts_id", "country_name"
         )
+        # Both sides grow with the data. By its size estimate alone Spark may still broadcast a line
+        # item table just under its threshold, whole and to every executor.
         return (
-            lines.join(located, F.col("l_orderkey") == F.col("o_orderkey"))
+            lines.join(located.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .groupBy("nuts_id", "country_name", "year", "gas", "sector", "sector_group")
             .agg(F.sum("_kt").cast("double").alias("emissions_kt_co2e"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from . import bindings
 from .bindings import Sources
 from .plans import bi, correlation, curated, dashboard, merged, profile, reports, star, tidy, validate
-from .operators import slice_rows
+from .operators import preview, slice_rows
 from .sources import explode_features
 from .sources.stored import coverage
 from .workspace import Workspace, workspace
@@ -23,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REPORT_YEAR = 2000
 REPORT_WINDOW = (1996, 2000)
 CHART_YEARS = (1998, 2001)
+# A dashboard selection of countries; the query itself reads the whole table.
 SELECTED_COUNTRIES = ["AA", "AF", "BB", "BG", "CC", "DD", "EE"]
 MAP_METRIC = "total_emissions_kt"
 HEALTH_METRIC = "cod_copd_rate"
@@ -93,6 +94,11 @@ _lazy("curated_all_levels")(
     lambda s: curated.curated(s.emissions, s.causes, s.discharges, s.population, level_only=None)
 )
 
+_lazy("curated_window")(
+    lambda s: curated.curated(s.emissions, s.causes, s.discharges, s.population, years=REPORT_WINDOW)
+)
+_stored("curated_preview")(lambda w: preview(w.curated, "nuts_id", "year"))
+
 # --- star -------------------------------------------------------------------------------------
 
 _stored("region_universe")(lambda w: star.region_universe(w.tidy))

@@ -2,7 +2,7 @@
 
 from .filters import between_years, drop_null_codes, only_level, slice_rows, standard_stratum
 from .keys import dense_ids, first_value, keep_first
-from .ranking import first_per_group, top_and_bottom, top_n
+from .ranking import first_per_group, preview, top_and_bottom, top_n
 from .reshape import (
     columns_like,
     conditional_columns,
@@ -25,6 +25,7 @@ __all__ = [
     "membership",
     "only_level",
     "overlap_summary",
+    "preview",
     "rows_from_columns",
     "slice_rows",
     "split_dimensions",

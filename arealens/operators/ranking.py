@@ -17,6 +17,11 @@ def top_n(df: DataFrame, by: str, n: int, ties: tuple[str, ...], descending: boo
     return _ordered(df, by, ties, descending).limit(n)
 
 
+def preview(df: DataFrame, *order: str, n: int = 5) -> DataFrame:
+    """The first rows of a table in a stated order."""
+    return df.orderBy(*order).limit(n)
+
+
 def top_and_bottom(df: DataFrame, by: str, n: int, ties: tuple[str, ...]) -> DataFrame:
     """The ``n`` highest and the ``n`` lowest rows; a small table may show a row in both."""
     return top_n(df, by, n, ties).unionAll(top_n(df, by, n, ties, descending=False))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_exact, exact_avg, per_100k, per_capita_tonnes
-from ..operators import conditional_columns, drop_null_codes, only_level, standard_stratum
+from ..operators import between_years, conditional_columns, drop_null_codes, only_level, standard_stratum
 from ..operators.filters import HEALTH_STRATUM
 from ..schemas import DISCHARGE_METRICS, MORTALITY_METRICS, SECTOR_GROUP_NAMES, SOURCE_ORDER
 
@@ -80,20 +80,25 @@ def curated(
     discharges: DataFrame,
     population: DataFrame,
     level_only: int | None = 2,
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Curated table: emissions with a known population, mortality and discharges where there are any.
 
-    Each source is aggregated to the join keys before it is joined, so the joins see one row per
+    ``years`` limits every source to a harmonization window. Each source is aggregated to the join keys before it is joined, so the joins see one row per
     region and year and reuse the partitioning of the aggregations.
     """
+
+    def wanted(df: DataFrame) -> DataFrame:
+        return only_level(between_years(df, *years) if years else df, level_only)
+
     people = population.select(
         F.col("geo").alias("nuts_id"), "year", F.col("population").cast("double").alias("population")
     )
     joined = (
-        emissions_by_region_year(only_level(emissions, level_only))
-        .join(drop_null_codes(only_level(people, level_only), *KEYS), KEYS, "inner")
-        .join(mortality_by_region_year(only_level(causes, level_only)), KEYS, "left")
-        .join(discharges_by_region_year(only_level(discharges, level_only)), KEYS, "left")
+        emissions_by_region_year(wanted(emissions))
+        .join(drop_null_codes(wanted(people), *KEYS), KEYS, "inner")
+        .join(mortality_by_region_year(wanted(causes)), KEYS, "left")
+        .join(discharges_by_region_year(wanted(discharges)), KEYS, "left")
     )
     head = F.col("population")
     rates = {"emissions_per_capita_tonnes": per_capita_tonnes(F.col("total_emissions_kt"), head)} | {
