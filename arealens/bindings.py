@@ -20,20 +20,17 @@ RAW_DISCHARGES_HEADER = "freq,age,indic_he,unit,sex,icd10,geo\\TIME_PERIOD"
 RAW_POPULATION_HEADER = "freq,unit,sex,age,geo\\TIME_PERIOD"
 RAW_YEARS = range(1995, 2002)
 
-_SECTOR_OF_TYPE = {
-    "ECONOMY": "Agriculture",
-    "SMALL": "Buildings",
-    "MEDIUM": "Energy",
-    "PROMO": "Transport",
-    "STANDARD": "Dom_Avi",
-}
-_GROUP_OF_TYPE = {
-    "ECONOMY": "agriculture",
-    "SMALL": "buildings",
-    "MEDIUM": "energy",
-    "PROMO": "transport",
-    "STANDARD": "transport",
-}
+# Gases and sectors in the order of their numbers in the emission derivation.
+_GASES = ("GWP_100_AR5_CH4", "CO2", "GWP_100_AR5_N2O")
+_SECTORS = (
+    ("Agriculture", "agriculture"),
+    ("Buildings", "buildings"),
+    ("Energy", "energy"),
+    ("Transport", "transport"),
+    ("Dom_Avi", "transport"),
+    ("Unlisted", "other"),
+)
+_SECTOR_OF_TYPE = {"ECONOMY": 0, "SMALL": 1, "MEDIUM": 2, "PROMO": 3, "STANDARD": 4}
 
 
 def _case(column: str | Column, values: dict, default) -> Column:
@@ -60,7 +57,7 @@ class Sources:
 
     @cached_property
     def regions(self) -> DataFrame:
-        """Customer -> region code and country."""
+        """Customer -> region code and nation."""
 
         def digit(divisor: int, base: int) -> Column:
             return F.expr(f"cast(c_custkey div {divisor} % {base} as string)")
@@ -74,48 +71,51 @@ class Sources:
             .select(
                 "c_custkey",
                 "n_nationkey",
-                F.col("n_name").alias("country_name"),
                 F.substring(code, F.lit(1), (2 + F.col("c_custkey") % 4).cast("int")).alias("nuts_id"),
             )
         )
 
     @cached_property
     def emissions(self) -> DataFrame:
+        """Line items added up by region, year, gas and sector.
+
+        What is shuffled per line item is kept small: gas and sector travel as numbers, the country
+        as its key, and their names are attached to the added-up rows.
+        """
         lines = self._table("lineitem").select(
             "l_orderkey",
             "l_partkey",
             F.col("l_extendedprice").cast("decimal(18,2)").alias("_kt"),
             F.year("l_shipdate").alias("year"),
-            _case("l_returnflag", {"R": "GWP_100_AR5_CH4", "A": "CO2"}, "GWP_100_AR5_N2O").alias("gas"),
+            _case("l_returnflag", {"R": 0, "A": 1}, 2).alias("_gas"),
         )
         orders = self._table("orders").select("o_orderkey", "o_custkey")
-        parts = self._table("part").select(
-            "p_partkey",
-            _case("p_type", _SECTOR_OF_TYPE, "Unlisted").alias("sector"),
-            _case("p_type", _GROUP_OF_TYPE, "other").alias("sector_group"),
-        )
-        places = self.regions.filter("n_nationkey <> 24").select("c_custkey", "nuts_id", "country_name")
+        parts = self._table("part").select("p_partkey", _case("p_type", _SECTOR_OF_TYPE, 5).alias("_sector"))
+        places = self.regions.filter("n_nationkey <> 24").select("c_custkey", "nuts_id", "n_nationkey")
         located = orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select(
-            "o_orderkey", "nuts_id", "country_name"
+            "o_orderkey", "nuts_id", "n_nationkey"
         )
-        # Both sides grow with the data. By its size estimate alone Spark may still broadcast a line
-        # item table just under its threshold, whole and to every executor.
-        return (
+        # Line items and orders both grow with the data, so neither is broadcast even while small.
+        totals = (
             lines.join(located.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy("nuts_id", "country_name", "year", "gas", "sector", "sector_group")
+            .groupBy("nuts_id", "n_nationkey", "year", "_gas", "_sector")
             .agg(F.sum("_kt").cast("double").alias("emissions_kt_co2e"))
-            .select(
-                "nuts_id",
-                F.when(F.length("nuts_id") > 2, F.concat(F.lit("Region "), F.col("nuts_id"))).alias("nuts_label"),
-                F.substring("nuts_id", 1, 2).alias("country_iso"),
-                "country_name",
-                "year",
-                "gas",
-                "sector",
-                "sector_group",
-                "emissions_kt_co2e",
-            )
+        )
+        sector = F.col("_sector")
+        names = self._table("nation").select("n_nationkey", F.col("n_name").alias("country_name"))
+        return totals.join(names, "n_nationkey").select(
+            "nuts_id",
+            F.when(F.length("nuts_id") > 2, F.concat(F.lit("Region "), F.col("nuts_id"))).alias("nuts_label"),
+            F.substring("nuts_id", 1, 2).alias("country_iso"),
+            "country_name",
+            "year",
+            _case("_gas", dict(enumerate(_GASES[:-1])), _GASES[-1]).alias("gas"),
+            _case(sector, {i: name for i, (name, _) in enumerate(_SECTORS[:-1])}, _SECTORS[-1][0]).alias("sector"),
+            _case(sector, {i: group for i, (_, group) in enumerate(_SECTORS[:-1])}, _SECTORS[-1][1]).alias(
+                "sector_group"
+            ),
+            "emissions_kt_co2e",
         )
 
     @cached_property
