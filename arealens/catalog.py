@@ -6,6 +6,7 @@ Report years follow the years of the bound tables (1995 to 2001).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,11 +160,17 @@ def _profile_source(w: Workspace) -> DataFrame:
     return causes.unionByName(emissions)
 
 
+@_stored("profile_sheets")
+def _profile_sheets(w: Workspace) -> DataFrame:
+    sheets = bindings.raw_emission_sheets(w.emissions)
+    return reduce(DataFrame.unionByName, [profile.sheet_summary(df, sheet) for sheet, df in sheets.items()])
+
+
 @_stored("profile_missing")
 def _profile_missing(w: Workspace) -> DataFrame:
     sheets = bindings.raw_emission_sheets(w.emissions)
     parts = [profile.missing_cells(df, sheet, r"Y_(\d{4})") for sheet, df in sheets.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 _lazy("profile_completeness")(lambda s: profile.completeness(bindings.raw_causes(s.causes)))
@@ -185,7 +192,8 @@ def _by_source(w: Workspace) -> dict[str, DataFrame]:
     }
 
 
-_stored("coverage_overlap")(lambda w: profile.region_overlap(_by_source(w)))
+_stored("coverage_overlap")(lambda w: profile.region_overlap(_by_source(w), all_levels=("emissions",)))
+_stored("coverage_overlap_level2")(lambda w: profile.region_overlap(_by_source(w)))
 _stored("harmonization_window")(lambda w: profile.harmonization_window(_by_source(w)))
 
 # --- dashboard --------------------------------------------------------------------------------
@@ -207,6 +215,7 @@ _stored("dash_sector_long")(
     lambda w: dashboard.sector_breakdown(dashboard.dashboard_slice(w.curated, REPORT_YEAR))
 )
 _stored("dash_region_options")(lambda w: dashboard.region_options(w.curated))
+_stored("dash_year_range")(lambda w: dashboard.year_range(w.curated))
 _stored("dash_country_options")(lambda w: dashboard.country_options(w.curated))
 
 

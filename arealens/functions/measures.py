@@ -22,8 +22,8 @@ def exact_sum(value: Column) -> Column:
 
 
 def exact_avg(value: Column) -> Column:
-    """Order-independent AVG of a double column; NULL over no values."""
-    return F.try_divide(exact_sum(value), F.count(value).cast("double"))
+    """Order-independent AVG of a double column; NULL over no values, NaN counts as missing."""
+    return F.try_divide(exact_sum(value), F.count(as_exact(value)).cast("double"))
 
 
 def safe_divide(numerator: Column, denominator: Column, default: float = 0.0) -> Column:

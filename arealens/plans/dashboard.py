@@ -97,6 +97,11 @@ def region_options(curated: DataFrame) -> DataFrame:
     )
 
 
+def year_range(curated: DataFrame) -> DataFrame:
+    """Bounds of the year selector."""
+    return curated.agg(F.min("year").alias("min_year"), F.max("year").alias("max_year"))
+
+
 def country_options(curated: DataFrame) -> DataFrame:
     return curated.select("country_iso").distinct().orderBy("country_iso")
 

@@ -64,6 +64,22 @@ def source_summary(df: DataFrame, source: str, distinct: Mapping[str, str]) -> D
     return _stats(row, source)
 
 
+def sheet_summary(df: DataFrame, source: str) -> DataFrame:
+    """The same for a raw emission sheet; codes are counted over the rows that have a region."""
+    years = sorted(year_columns(df.columns, r"Y_(\d{4})").values())
+    distinct = {"regions": "NUTS 2", "countries": "ISO", "sectors": "Sector"}
+    combinations = df.groupBy(*[F.col(f"`{c}`") for c in distinct.values()]).agg(F.count(F.lit(1)).alias("_n"))
+    located = F.col("`NUTS 2`").isNotNull()
+    row = combinations.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        *[F.count_distinct(F.when(located, F.col(f"`{c}`"))).alias(name) for name, c in distinct.items()],
+        F.lit(years[0]).alias("first_year"),
+        F.lit(years[-1]).alias("last_year"),
+        F.lit(len(years)).alias("n_years"),
+    )
+    return _stats(row, source)
+
+
 def tidy_summary(df: DataFrame, source: str, distinct: Mapping[str, str]) -> DataFrame:
     """The same summary for a tidy table, where the years are rows."""
     combinations, counts = _distinct_counts(df, [*distinct.values(), "year"], distinct)
@@ -156,9 +172,17 @@ def respiratory_codes(df: DataFrame, code: str = "icd10_group") -> DataFrame:
     )
 
 
-def region_overlap(sources: Mapping[str, DataFrame], level: int = 2, code: str = "nuts_id") -> DataFrame:
-    """Distinct codes of one level per source, per pair of sources, in any and in all sources."""
-    sets = {name: only_level(df.filter(F.col(code).isNotNull()), level, code) for name, df in sources.items()}
+def region_overlap(
+    sources: Mapping[str, DataFrame], level: int = 2, code: str = "nuts_id", all_levels: tuple[str, ...] = ()
+) -> DataFrame:
+    """Distinct codes of one level per source, per pair of sources, in any and in all sources.
+
+    Sources named in ``all_levels`` count with all their codes.
+    """
+    sets = {
+        name: df if name in all_levels else only_level(df.filter(F.col(code).isNotNull()), level, code)
+        for name, df in sources.items()
+    }
     return overlap_summary(sets, code).select("measure", F.col("n").alias("n_codes"))
 
 

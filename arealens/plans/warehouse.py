@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,12 @@ from ..sources.stored import read_table, write_table
 from . import star
 from .star import Tidy
 
+# Tables of a step only need tables of earlier steps.
+LOAD_STEPS = (
+    ("dim_geography", "dim_sector", "dim_gas", "dim_icd10_cod", "dim_discharge_type"),
+    ("fact_population", "fact_emissions", "fact_causes_of_death"),
+    ("fact_hospital_discharges", "dim_time"),
+)
 VIEWS = ("vw_emissions", "vw_health_metrics", "vw_hospital_discharges")
 
 
@@ -129,6 +136,13 @@ class Star:
         """All dimensions, then all facts."""
         return {name: getattr(self, name) for name in (*DIMENSIONS, *FACTS)}
 
+    def load(self) -> Star:
+        """Have every table kept now. The tables of a step are loaded side by side."""
+        with ThreadPoolExecutor(max_workers=5) as pool:
+            for step in LOAD_STEPS:
+                list(pool.map(lambda name: getattr(self, name), step))
+        return self
+
     def create_views(self) -> None:
         """Register all tables and the joined views for ``spark.sql``."""
         for name, df in self.tables().items():
@@ -159,9 +173,7 @@ def load_star(
         write_table(build(), path, stamp, partition_by=("time_id",) if by_year and name in FACTS else ())
         return read_table(spark, path)
 
-    loaded = Star(tidy, level_only, stratum, keep=store)
-    loaded.tables()
-    return loaded
+    return Star(tidy, level_only, stratum, keep=store).load()
 
 
 def read_star(spark: SparkSession, root: str) -> Star:

@@ -190,3 +190,8 @@ def test_pearson(spark):
     flat = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double")
     assert flat.agg(fn.pearson(F.col("x"), F.col("y"))).first()[0] is None
     assert flat.limit(1).agg(fn.pearson(F.col("x"), F.col("y"))).first()[0] is None
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "v double")
+    assert tuple(df.agg(fn.exact_sum(F.col("v")), fn.exact_avg(F.col("v"))).first()) == (4.0, 2.0)

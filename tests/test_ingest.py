@@ -361,3 +361,30 @@ def test_long_order_is_year_by_year(spark, write):
     sheet = f"x\n{HEADER}\nCO2,AT,Austria,AT11,Late,Energy,,5\nCO2,AT,Austria,AT11,Early,Waste,1,\n"
     regions = rows(star.dim_geography(tidy.emissions({"CH4_AR5": read_sheet(spark, write("s.csv", sheet))})))
     assert [r["nuts_label"] for r in regions] == ["Early"]
+
+
+def test_population_falls_back_to_candidates(spark, tmp_path):
+    layout = "freq string, unit string, sex string, age string, geo string, TIME_PERIOD string, OBS_VALUE string"
+
+    def candidate(*years):
+        return spark.createDataFrame([("A", "NR", "T", "TOTAL", "AT11", str(y), str(y)) for y in years], layout)
+
+    found = tidy.load_population(
+        spark, str(tmp_path / "p"), None, {"short": candidate(2014, 2020), "long": candidate(2000, 2013)}, "short"
+    )
+    assert {r["year"] for r in rows(found)} == {2000, 2013}
+    with pytest.raises(ValueError):
+        tidy.load_population(spark, str(tmp_path / "q"), None)
+
+
+def test_sheet_summary(spark, write):
+    stats = {r["stat"]: r["value"] for r in rows(profile.sheet_summary(read_sheet(spark, write("s.csv", SHEET)), "s"))}
+    assert stats == {
+        "rows": 4,
+        "regions": 3,
+        "countries": 2,  # "aut" is counted as it stands
+        "sectors": 3,
+        "first_year": 1990,
+        "last_year": 1991,
+        "n_years": 2,
+    }
