@@ -4,26 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import SOURCE_ORDER
 
 
+# Bits of a packed position: row inside its task, and byte offset of the block in its file.
+ROW_BITS = 33
+BLOCK_BITS = 46
+PACKED = "decimal(38,0)"
+
+
 def with_source_order(df: DataFrame) -> DataFrame:
     """Add the position of each row in its file(s).
 
     File and block come from the scan's metadata; inside a block the row id grows in reading order,
-    so the struct sorts like the source even when a file is split over many tasks.
+    so the position sorts like the source even when a file is split over many tasks. For a single
+    file it is one number, which keeps the aggregates that order by it hash aggregates; for several
+    files it is a struct that starts with the file name.
     """
-    return df.withColumn(
-        SOURCE_ORDER,
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-    )
+    block = F.col("_metadata.file_block_start")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    if len(df.inputFiles()) == 1:
+        position = block.cast(PACKED) * F.lit(1 << ROW_BITS).cast(PACKED) + row.cast(PACKED)
+        return df.withColumn(SOURCE_ORDER, position.cast(PACKED))
+    file = F.col("_metadata.file_path")
+    return df.withColumn(SOURCE_ORDER, F.struct(file.alias("file"), block.alias("block"), row.alias("row")))
+
+
+def long_order(sheet: int, year: Column, row: Column, packed: bool) -> Column:
+    """Position of an unpivoted row: sheet by sheet, each year by year, each in row order."""
+    if not packed:
+        return F.struct(F.lit(sheet).alias("sheet"), year.alias("year"), row.alias("row"))
+    years = F.lit(sheet * 10_000).cast(PACKED) + year.cast(PACKED)
+    return (years * F.lit(str(1 << (ROW_BITS + BLOCK_BITS))).cast(PACKED) + row).cast(PACKED)
 
 
 def read_wide_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -50,15 +66,14 @@ def read_sheet(
     cells = [f"c{i}" for i in range(max_columns)]
     raw = spark.read.csv(path, schema=", ".join(f"{c} string" for c in cells), header=False)
     raw = with_source_order(raw)
+    if isinstance(raw.schema[SOURCE_ORDER].dataType, T.StructType):
+        raise ValueError(f"a sheet is one file: {path}")
     header = raw.filter(F.col("c0") == header_mark).select(*cells, SOURCE_ORDER).first()
     if header is None:
         raise ValueError(f"no row starting with {header_mark!r} in {path}")
     named = [(c, header[c]) for c in cells if header[c]]
-    # The preamble is in the first block together with the header, hence in the same task.
-    position = F.col(SOURCE_ORDER)
-    below = (position["block"] > header[SOURCE_ORDER]["block"]) | (
-        position["row"] > header[SOURCE_ORDER]["row"]
-    )
+    # The preamble precedes the header.
+    below = F.col(SOURCE_ORDER) > F.lit(header[SOURCE_ORDER])
     return raw.filter(below).select(*[F.col(c).alias(name) for c, name in named], SOURCE_ORDER)
 
 

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from arealens.operators import keep_first
 from arealens.plans import dashboard, profile, star, tidy
 from arealens.schemas import SOURCE_ORDER
 from arealens.sources import (
@@ -106,6 +107,20 @@ def test_source_order_follows_the_file(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert codes == [f"R{i:05d}" for i in range(20000)]
+    kept = keep_first(tidy.causes_of_death(df), ["nuts_id", "year", "icd10_group"], "age_standardised_rate_per_100k")
+    assert "SortAggregate" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_source_order_over_several_files(spark, tmp_path):
+    head = "freq,unit,sex,age,icd10,geo\\TIME_PERIOD\t2010 \n"
+    for part in "ba":
+        text = head + "".join(f"A,RT,T,TOTAL,J,{part.upper()}{i:03d}\t{i} \n" for i in range(50))
+        (tmp_path / f"{part}.tsv").write_text(text)
+    long = tidy.causes_of_death(read_wide_tsv(spark, str(tmp_path)))
+    codes = [r[0] for r in long.orderBy(SOURCE_ORDER).select("nuts_id").collect()]
+    assert codes == [f"{p}{i:03d}" for p in "AB" for i in range(50)]
+    first = keep_first(long, ["year"], "age_standardised_rate_per_100k")
+    assert [tuple(r) for r in first.collect()] == [(2010, 0.0)]
 
 
 def test_short_dimension_rows_give_nulls(spark):
