@@ -2,7 +2,7 @@
 
 Customers stand for regions (a code of two to five characters), line items for emission records,
 orders for death rates, events for discharges. The same derivation is written in SQL in
-``reference_sql.py``; the two are compared row by row.
+``sql_oracles.py``; the two are compared row by row.
 """
 
 from __future__ import annotations

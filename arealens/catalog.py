@@ -278,7 +278,7 @@ _stored("bi_measures")(
 
 
 def _pairs(w: Workspace) -> DataFrame:
-    return correlation.region_year_pairs(w.star.vw_emissions, w.star.vw_health_metrics)
+    return correlation.region_year_pairs(w.star)
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -290,26 +290,16 @@ _stored("corr_data")(_pairs)
 _stored("corr_matrix")(lambda w: correlation.country_matrix(_pairs(w)))
 _stored("corr_pearson")(lambda w: _rounded(correlation.pearson_by(_pairs(w), "country_name")))
 _stored("corr_pearson_overall")(lambda w: _rounded(correlation.pearson_overall(_pairs(w))))
-_stored("corr_by_sector")(
-    lambda w: correlation.sector_pairs(w.star.vw_emissions, w.star.vw_health_metrics)
-)
+_stored("corr_by_sector")(lambda w: correlation.sector_pairs(w.star))
 _stored("corr_pearson_sector")(
-    lambda w: _rounded(
-        correlation.pearson_by(
-            correlation.sector_pairs(w.star.vw_emissions, w.star.vw_health_metrics), "sector_group"
-        )
-    )
+    lambda w: _rounded(correlation.pearson_by(correlation.sector_pairs(w.star), "sector_group"))
 )
 _stored("corr_timeseries")(
     lambda w: correlation.yearly_comparison(w.star.vw_emissions, w.star.vw_health_metrics, CHART_YEARS)
 )
 _stored("corr_regional_top10")(lambda w: correlation.top_regions(_pairs(w)))
-_stored("lag_analysis")(lambda w: correlation.lagged_pairs(w.star.vw_emissions, w.star.vw_health_metrics))
-_stored("lag_by_year")(
-    lambda w: correlation.lag_by_year(
-        correlation.lagged_pairs(w.star.vw_emissions, w.star.vw_health_metrics)
-    )
-)
+_stored("lag_analysis")(lambda w: correlation.lagged_pairs(w.star))
+_stored("lag_by_year")(lambda w: correlation.lag_by_year(correlation.lagged_pairs(w.star)))
 
 
 def queries() -> dict[str, Query]:

@@ -365,11 +365,23 @@ def test_bi_measures_and_shares(loaded):
 
 
 def test_lag_needs_the_neighbouring_year(spark):
-    emissions = spark.createDataFrame([("A", "a", y, 1.0) for y in (2000, 2001, 2003)], "nuts_id string, country_name string, year int, emissions_kt_co2e double")
-    health = spark.createDataFrame([("A", "a", y, 1, float(y)) for y in (2000, 2001)], "nuts_id string, country_name string, year int, is_respiratory int, age_standardised_rate_per_100k double")
-    assert [(r["year"], r["death_rate_prev_year"]) for r in rows(correlation.lagged_pairs(emissions, health))] == [(2001, 2000.0)]
-    ahead = correlation.lagged_pairs(emissions, health, lag_years=-1)
+    frame = spark.createDataFrame
+    tables = {
+        "dim_geography": frame([(1, "A", "a", "A")], "geography_id int, nuts_id string, country_name string, nuts_label string"),
+        "dim_time": frame([(y, y) for y in range(1999, 2005)], "time_id int, year int"),
+        "dim_icd10_cod": frame([(1, 1), (2, 0)], "icd10_cod_id int, is_respiratory int"),
+        "fact_emissions": frame([(1, y, 1.0) for y in (2000, 2001, 2003)], "geography_id int, time_id int, emissions_kt_co2e double"),
+        "fact_causes_of_death": frame(
+            [(1, y, c, float(y * c)) for y in (2000, 2001) for c in (1, 2)],
+            "geography_id int, time_id int, icd10_cod_id int, age_standardised_rate_per_100k double",
+        ),
+    }
+    small = Star(None, keep=lambda name, build: tables[name])
+    assert [(r["year"], r["death_rate_prev_year"]) for r in rows(correlation.lagged_pairs(small))] == [(2001, 2000.0)]
+    ahead = correlation.lagged_pairs(small, lag_years=-1)
     assert [(r["year"], r["death_rate_prev_year"]) for r in rows(ahead)] == [(2000, 2001.0)]
+    pairs = rows(correlation.region_year_pairs(small), "year")
+    assert [(r["year"], r["avg_death_rate"]) for r in pairs] == [(2000, 2000.0), (2001, 2001.0)]
 
 
 def test_pearson_by_country_matches_numpy(spark):
