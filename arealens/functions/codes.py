@@ -33,9 +33,13 @@ def parse_year(text: Column) -> Column:
 
 
 def parse_measure(text: Column) -> Column:
-    """Cell text to double; the missing mark and flagged cells such as ``12.3 b`` become NULL."""
+    """Cell text to double; the missing mark and flagged cells such as ``12.3 b`` become NULL.
+
+    Numbers beyond the range of a double are NULL as well.
+    """
     cell = strip(text)
-    return F.when((cell != MISSING) & cell.rlike(NUMBER), cell.try_cast("double"))
+    number = F.when((cell != MISSING) & cell.rlike(NUMBER), cell.try_cast("double"))
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def region_level(code: Column) -> Column:

@@ -15,6 +15,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     for table in TABLES:
         path = Path(folder) / f"{table}.parquet"
         if path.exists():
+            path = path / "*.parquet" if path.is_dir() else path
             connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}'")
     return connection
 

@@ -36,6 +36,22 @@ def test_query(spark, duck, name):
     assert differences(driver.queries()[name](spark, DATA), ORACLES[name], duck) == []
 
 
+def test_invariants(spark):
+    if not Path(DATA).exists():
+        pytest.skip("no test data")
+    run = {n: driver.queries()[n](spark, DATA).toPandas() for n in ("emissions_wide", "curated_all_levels", "ingest_population", "verify_grain", "verify_orphans", "verify_required")}
+    wide = run["emissions_wide"]
+    groups = [c for c in wide.columns if c.startswith("emissions_")]
+    assert (wide["total_emissions_kt"] - wide[groups].sum(axis=1)).abs().max() < 1e-6
+    keys = lambda df, code: set(zip(df[code], df["year"]))
+    both = keys(wide, "nuts_id") & keys(run["ingest_population"], "geo")
+    assert keys(run["curated_all_levels"], "nuts_id") == both
+    assert len(run["curated_all_levels"]) == len(both)
+    assert run["verify_grain"]["n_surplus"].sum() == 0
+    assert run["verify_orphans"]["n_orphans"].sum() == 0
+    assert run["verify_required"]["n_missing"].sum() == 0
+
+
 def test_entry(spark):
     if not Path(DATA).exists():
         pytest.skip("no test data")

@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import math
 
+import random
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,8 +31,8 @@ def test_year_from_headers(spark):
 
 
 def test_measures_drop_missing_and_flagged_cells(spark):
-    cells = ["61.2 ", ": ", "58.9 b", "12d", "12f", "1_000", "-3", "+.5", "1e3", "5.", "", None, "inf", " 7 "]
-    expected = [61.2, None, None, None, None, None, -3.0, 0.5, 1000.0, 5.0, None, None, None, 7.0]
+    cells = ["61.2 ", ": ", "58.9 b", "12d", "12f", "1_000", "-3", "+.5", "1e3", "5.", "", None, "inf", " 7 ", "1e999"]
+    expected = [61.2, None, None, None, None, None, -3.0, 0.5, 1000.0, 5.0, None, None, None, 7.0, None]
     assert evaluate(spark, cells, "string", fn.parse_measure) == expected
 
 
@@ -195,3 +198,15 @@ def test_pearson(spark):
 def test_nan_counts_as_missing(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "v double")
     assert tuple(df.agg(fn.exact_sum(F.col("v")), fn.exact_avg(F.col("v"))).first()) == (4.0, 2.0)
+
+
+def test_measures_agree_with_lenient_parsing(spark):
+    rng = random.Random(7)
+    cells = ["".join(rng.choice("0123456789.+-eE: bdf_,") for _ in range(rng.randint(1, 6))) for _ in range(3000)]
+    cells += [f"{rng.uniform(-1e6, 1e6):.{rng.randint(0, 6)}f}{rng.choice(['', ' ', ' b', 'p'])}" for _ in range(500)]
+    wanted = pd.to_numeric(pd.Series(cells).str.strip().replace(":", None), errors="coerce")
+    got = evaluate(spark, cells, "string", fn.parse_measure)
+    for cell, a, b in zip(cells, got, wanted):
+        # The array parser may be off by a last digit; what is a number and what is not must agree.
+        assert (a is None) == bool(pd.isna(b)), cell
+        assert a is None or a == pytest.approx(b, rel=1e-12), cell
