@@ -37,10 +37,10 @@ def _register(name: str, query: Query) -> None:
 
 
 def _lazy(name: str):
-    """Register a query over the lazy sources."""
+    """Register a query that runs from the sources in one pass, without stored tables."""
 
     def add(body: Callable[[Sources], DataFrame]):
-        _register(name, lambda spark, folder: body(Sources(spark, folder)))
+        _register(name, lambda spark, folder: body(workspace(spark, folder).sources))
         return body
 
     return add
