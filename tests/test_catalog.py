@@ -9,11 +9,11 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as driver
+from arealens import catalog
+from sql_oracles import ORACLES
 from tests.compare import connect, differences
 from tests.conftest import DATA
 
-ORACLES = driver.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -23,7 +23,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(ORACLES)
+    assert set(catalog.queries()) == set(ORACLES)
 
 
 def test_import_needs_no_session():
