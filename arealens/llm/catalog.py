@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .language import language_query
+from .near_dup import near_duplicates
 
 
 def _over(*tables: str):
@@ -21,6 +22,7 @@ def _over(*tables: str):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_language_id": _over("documents")(language_query),
+        "op10_near_dup": _over("documents")(near_duplicates),
     }
 
 
