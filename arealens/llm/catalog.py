@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import leaks
 from .language import language_query
 from .near_dup import near_duplicates
+from .pii import pii_query
 
 
 def _over(*tables: str):
@@ -22,6 +24,8 @@ def _over(*tables: str):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_language_id": _over("documents")(language_query),
+        "op6_pii": _over("documents")(pii_query),
+        "op8_decontamination": _over("documents", "benchmark")(leaks),
         "op10_near_dup": _over("documents")(near_duplicates),
     }
 
