@@ -10,25 +10,39 @@ from .decontaminate import leaks
 from .language import language_query
 from .near_dup import near_duplicates
 from .pii import pii_query
+from .pieces import load_vocabulary, pieces_query
+from .quality import ORACLE as QUALITY_SQL
+from .quality import quality_query
+from .scratch import small_batches
 
 
 def _over(*tables: str):
     """A query from a function of tables: each is read whole from the folder."""
 
     def bind(build: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: build(*[spark.read.parquet(f"{folder}/{t}.parquet") for t in tables])
+        def query(spark: SparkSession, folder: str) -> DataFrame:
+            small_batches(spark)
+            return build(*[spark.read.parquet(f"{folder}/{t}.parquet") for t in tables])
+
+        return query
 
     return bind
 
 
+# The vocabulary that the tokenizing query uses; any SentencePiece model with byte pieces would do.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_sentencepiece": _over("documents")(lambda docs: pieces_query(docs, load_vocabulary(VOCABULARY))),
         "op5_language_id": _over("documents")(language_query),
         "op6_pii": _over("documents")(pii_query),
+        "op7_quality_rules": _over("documents")(quality_query),
         "op8_decontamination": _over("documents", "benchmark")(leaks),
         "op10_near_dup": _over("documents")(near_duplicates),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_quality_rules": QUALITY_SQL}

@@ -77,9 +77,13 @@ def count_grams(order: int):
 def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
     """At most ``per_language`` whole texts of each language, chosen by a hash of their id and text."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = labelled.groupBy("lang").agg((F.lit(1.2 * per_language) / F.count("*")).alias("_share"))
+    # One number per language, as many as the trees that the driver is to hold anyway.
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    share = F.when(F.lit(False), 0.0)
+    for row in counts:
+        share = share.when(F.col("lang") == row["lang"], 1.2 * per_language / row["n"])
     draw = F.pmod(F.xxhash64("doc_id", F.crc32("text")), F.lit(1 << 30)) / float(1 << 30)
-    thinned = labelled.withColumn("_draw", draw).join(share, "lang").filter("_draw < _share")
+    thinned = labelled.withColumn("_draw", draw).filter(F.col("_draw") < share)
     ranked = thinned.selectExpr("lang", "text", "row_number() over (partition by lang order by _draw, text) as _rank")
     return ranked.filter(F.col("_rank") <= per_language).select("lang", "text")
 

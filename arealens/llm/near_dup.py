@@ -27,6 +27,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from .scratch import Scratch, pick
 
@@ -97,19 +98,18 @@ def _describe(words: int, bands: int, rows: int):
     return describe
 
 
-def _full_set(words: int):
-    @F.pandas_udf("set_id binary, shingles array<long>")
-    def full_set(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            sets = [shingle_set(t, words) for t in texts]
-            yield pd.DataFrame(
-                {
-                    "set_id": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-                    "shingles": [s.view(np.int64) for s in sets],
-                }
-            )
+def _full_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(doc_id, node, n, shingles) of the rows (doc_id, node, n, set_id, text) whose text has that set."""
+
+    def full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_set(t, words) for t in batch["text"]]
+            same = [xxhash.xxh3_128_digest(s.tobytes()) == bytes(i) for s, i in zip(sets, batch["set_id"])]
+            own = batch[["doc_id", "node", "n"]].assign(shingles=[s.view(np.int64) for s in sets])
+            yield own[np.array(same, bool)]
 
-    return full_set
+    schema = StructType([texts.schema[c] for c in ("doc_id", "node", "n")] + [StructField("shingles", ArrayType(LongType()))])
+    return texts.select("doc_id", "node", "n", "set_id", "text").mapInPandas(full, schema)
 
 
 def _similar(overlap: Column, n: Column, m: Column, percent: int) -> Column:
@@ -206,21 +206,12 @@ def _rest(open_sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     return pairs
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = 5, percent: int = 75, bands: int = 40, rows: int = 4
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of (doc_id, text).
-
-    Documents with ``100 * intersection >= percent * union`` of their shingle sets are linked;
-    ``component_id`` is the least doc_id that links reach, and ``kept`` marks its row. A null or empty
-    text, or one of white space only, has no shingles and is linked with nothing. Rows that repeat a
-    doc_id are documents of their own that share its number. A row with a null doc_id takes part; its
-    component is named by the others' ids, or null if none has one, and it is kept in that case.
-    """
+def _grouped(docs: DataFrame, words: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """(doc_id, text_id, n, component, component_id) of every row; text_id is a hash of the text."""
     scratch = Scratch(docs.sparkSession, "near-dup")
     docs = pick(docs, "doc_id", "text")
-    described = docs.select("doc_id", _describe(words, bands, rows)(F.col("text")).alias("_d"))
-    described = scratch.keep(described.select("doc_id", "_d.*"), "described")
+    described = docs.select("doc_id", _text_id("text"), _describe(words, bands, rows)(F.col("text")).alias("_d"))
+    described = scratch.keep(described.select("doc_id", "text_id", "_d.*"), "described")
 
     # One node per distinct set; the sort-based aggregate drops copies before the shuffle.
     one = described.filter("n > 0").groupBy("set_id").agg(
@@ -242,13 +233,10 @@ def near_duplicates(
     wanted = nodes.select("node", "n", "set_id", "doc_id").join(members.select("node").distinct(), "node")
     named = wanted.filter("doc_id is not null").withColumnRenamed("doc_id", "_id")
     named = docs.filter("doc_id is not null").join(named, F.col("doc_id") == F.col("_id")).drop("_id")
-    unnamed = wanted.filter("doc_id is null").drop("doc_id")
-    unnamed = docs.filter("doc_id is null").withColumn("_of", _full_set(words)(F.col("text"))["set_id"]).join(
-        unnamed, F.col("_of") == F.col("set_id")
-    )
-    texts = named.unionByName(unnamed.drop("_of"))
-    sets = texts.select("doc_id", "node", "n", "set_id", _full_set(words)(F.col("text")).alias("_f"))
-    sets = sets.filter(F.col("_f.set_id") == F.col("set_id")).select("doc_id", "node", "n", "_f.shingles")
+    unnamed = wanted.filter("doc_id is null").drop("doc_id").withColumnRenamed("set_id", "_of")
+    nameless = docs.filter("doc_id is null").select("doc_id", "text", _describe(words, bands, rows)(F.col("text"))["set_id"].alias("set_id"))
+    unnamed = nameless.join(unnamed, F.col("_of") == F.col("set_id")).drop("_of")
+    sets = _full_sets(named.unionByName(unnamed), words)
     sets = scratch.keep(sets.dropDuplicates(["doc_id", "node"]).drop("doc_id"), "sets")
 
     links = scratch.keep(_confirmed(stars, sets, percent), "links")
@@ -272,12 +260,46 @@ def near_duplicates(
     joined = nodes.select("set_id", "doc_id", "node").join(labels, "node", "left")
     joined = scratch.keep(joined.select("set_id", "doc_id", F.coalesce("component", "node").alias("component")), "joined")
     least = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = scratch.keep(joined.join(scratch.keep(least, "least"), "component").select("set_id", "component_id"), "named")
-    found = described.select("doc_id", "n", "set_id").join(named, "set_id", "left")
+    named = scratch.keep(joined.join(scratch.keep(least, "least"), "component").drop("doc_id"), "named")
+    return described.select("doc_id", "text_id", "n", "set_id").join(named, "set_id", "left")
+
+
+def _text_id(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_id")
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = 5, percent: int = 75, bands: int = 40, rows: int = 4
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of (doc_id, text).
+
+    Documents with ``100 * intersection >= percent * union`` of their shingle sets are linked;
+    ``component_id`` is the least doc_id that links reach, and ``kept`` marks its row. A null or empty
+    text, or one of white space only, has no shingles and is linked with nothing. Rows that repeat a
+    doc_id are documents of their own that share its number. A row with a null doc_id takes part; its
+    component is named by the others' ids, or null if none has one, and it is kept in that case.
+    """
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select(
+    return _grouped(docs, words, percent, bands, rows).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = 40, rows: int = 4) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates: that with the least doc_id, null ids last.
+
+    Among rows with that id one stays, whatever their texts. Texts without words all stay.
+    """
+    groups = _grouped(docs, words, percent, bands, rows).filter("n > 0")
+    first = groups.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_id")).alias("first")
+    )
+    first = first.select(F.col("first.doc_id").alias("_first_id"), F.col("first.text_id").alias("_first_text"))
+    here = docs.withColumn("_text_id", F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    words_in = F.trim(F.translate("text", "\t\n\x0b\f\r", "     ")) != ""
+    same = F.col("doc_id").eqNullSafe(F.col("_first_id")) & (F.col("_text_id") == F.col("_first_text"))
+    kept = here.filter(words_in).join(first, same, "left_semi").dropDuplicates(["doc_id", "_text_id"])
+    return kept.unionByName(here.filter(~F.coalesce(words_in, F.lit(False)))).drop("_text_id")

@@ -11,6 +11,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows have whole texts or sets: small batches bound what a Python worker holds at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 class Scratch:
     """A folder of one operator run. It goes when the session ends, its large tables by ``drop``."""
 
