@@ -4,8 +4,9 @@ A document is the set of its distinct shingles, as 64-bit hashes. Copies, that i
 one node. One permutation: the hash range is cut into ``bands * rows`` bins and the least hash of
 each bin is kept; an empty bin copies from a full bin that a fixed random order of its own picks
 (optimal densification), so slots of two sets agree with the probability of their similarity. Nodes
-that agree in all slots of a band share a bucket. A bucket emits a star: one edge from its least
-node to each other member, so edges are as many as members. Every edge is confirmed on the full
+that agree in all slots of a band share a bucket. A bucket emits a star: one edge from its centre
+to each other member, so edges are as many as members. The centre is the member whose buckets have
+the most members, which in a group of copies is the original. Every edge is confirmed on the full
 sets.
 
 A star misses a link between two members that are both unlike its centre. That is only possible in
@@ -168,7 +169,7 @@ def _first_shingles(counts: np.ndarray, percent: int):
                 shingles = np.asarray(shingles, np.int64)
                 size = len(shingles) - -(-percent * len(shingles) // 100) + 1
                 rank = np.lexsort((shingles, counts[shingles & (COUNTERS - 1)]))
-                found.append(shingles[rank[:size]])
+                found.append(shingles[rank[:size]])  # in that order: places count below
             yield pd.Series(found)
 
     return first
@@ -188,21 +189,25 @@ def _rest(open_sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     )
     counts = np.zeros(COUNTERS, np.int64)
     counts[counted["slot"].to_numpy()] = counted["n"].to_numpy()
-    early = scratch.keep(
-        open_sets.select(
-            "node", "n", "component", F.explode(_first_shingles(counts, percent)(F.col("shingles"))).alias("shingle")
-        ),
-        "early",
-    )
-    mixed = early.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed = scratch.keep(mixed.filter("lo < hi").select("shingle"), "mixed")
+    first = F.posexplode(_first_shingles(counts, percent)(F.col("shingles"))).alias("place", "shingle")
+    early = scratch.keep(open_sets.select("node", "n", "component", first), "early")
+    # Pairs within a component are known: only members outside the most frequent one look for partners.
+    sizes = early.groupBy("shingle", "component").agg(F.count("*").alias("size"))
+    mixed = sizes.groupBy("shingle").agg(F.max_by("component", "size").alias("most"), F.count("*").alias("kinds"))
+    mixed = scratch.keep(mixed.filter("kinds > 1").drop("kinds"), "mixed")
     shared = scratch.keep(early.join(mixed, "shingle"), "shared")
-    a, b = shared.alias("a"), shared.alias("b")
+    fewer = scratch.keep(shared.filter("component <> most"), "fewer")
+    a, b = fewer.alias("a"), shared.alias("b")
+    # If this is the first shingle that both have, no more can follow than either has left.
+    least = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
     pairs = a.join(b, F.col("a.shingle") == F.col("b.shingle")).filter(
-        (F.col("a.component") < F.col("b.component")) & _lengths_fit(F.col("a.n"), F.col("b.n"), percent)
+        (F.col("a.component") != F.col("b.component"))
+        & ((100 + percent) * least >= percent * (F.col("a.n") + F.col("b.n")))
     )
-    pairs = scratch.keep(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "rest")
-    scratch.drop("early", "mixed", "shared")
+    one, other = F.col("a.node"), F.col("b.node")
+    pairs = pairs.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
+    pairs = scratch.keep(pairs, "rest")
+    scratch.drop("early", "mixed", "shared", "fewer")
     return pairs
 
 
@@ -219,15 +224,19 @@ def _grouped(docs: DataFrame, words: int, percent: int, bands: int, rows: int) -
     )
     nodes = scratch.keep(one.select(F.monotonically_increasing_id().alias("node"), "*"), "nodes")
     placed = nodes.select(F.explode("buckets").alias("bucket"), "node", "n")
-    centres = placed.groupBy("bucket").agg(
-        F.min("node").alias("centre"), F.min_by("n", "node").alias("centre_n"), F.count("*").alias("size")
-    )
-    centres = scratch.keep(centres.filter("size > 1").drop("size"), "centres")
-    members = scratch.keep(placed.join(centres, "bucket"), "members")
-    stars = members.filter(
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    members = scratch.keep(placed.join(scratch.keep(sizes, "sizes"), "bucket"), "members")
+    # The original of a group of copies agrees with most of them, so it is in the largest buckets.
+    crowd = scratch.keep(members.groupBy("node").agg(F.sum("size").alias("crowd")), "crowd")
+    ranked = scratch.keep(members.join(crowd, "node"), "ranked")
+    centres = ranked.groupBy("bucket").agg(F.max(F.struct("crowd", "node", "n")).alias("centre"))
+    centres = scratch.keep(centres.select("bucket", F.col("centre.node").alias("centre"), F.col("centre.n").alias("centre_n")), "centres")
+    stars = members.join(centres, "bucket").filter(
         (F.col("node") != F.col("centre")) & _lengths_fit(F.col("n"), F.col("centre_n"), percent)
     )
-    stars = scratch.keep(stars.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    stars = stars.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
+    stars = scratch.keep(stars, "stars")
+    scratch.drop("sizes", "crowd", "ranked", "centres")
 
     # Full sets of the nodes that share a bucket with another, from their rows; without a doc_id, by the set.
     wanted = nodes.select("node", "n", "set_id", "doc_id").join(members.select("node").distinct(), "node")
@@ -254,7 +263,7 @@ def _grouped(docs: DataFrame, words: int, percent: int, bands: int, rows: int) -
         more = scratch.keep(_confirmed(pairs, open_sets, percent), "more")
         labels = components(links.union(more), scratch, "labels-all")
         scratch.drop("open-sets")
-    scratch.drop("sets", "members", "located", "centres")
+    scratch.drop("sets", "members", "located")
 
     # Every distinct set with the least doc_id of its component.
     joined = nodes.select("set_id", "doc_id", "node").join(labels, "node", "left")
