@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import ORACLE as CHAT_SQL
+from .chat import chat_query
 from .decontaminate import leaks
 from .language import language_query
 from .near_dup import near_duplicates
@@ -14,6 +16,7 @@ from .pieces import load_vocabulary, pieces_query
 from .quality import ORACLE as QUALITY_SQL
 from .quality import quality_query
 from .scratch import small_batches
+from .secret_scan import secrets_query
 
 
 def _over(*tables: str):
@@ -35,14 +38,16 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_chat_format": _over("conversations")(chat_query),
         "op3_sentencepiece": _over("documents")(lambda docs: pieces_query(docs, load_vocabulary(VOCABULARY))),
         "op5_language_id": _over("documents")(language_query),
         "op6_pii": _over("documents")(pii_query),
         "op7_quality_rules": _over("documents")(quality_query),
         "op8_decontamination": _over("documents", "benchmark")(leaks),
+        "op9_secrets": _over("documents")(secrets_query),
         "op10_near_dup": _over("documents")(near_duplicates),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality_rules": QUALITY_SQL}
+    return {"op2_chat_format": CHAT_SQL, "op7_quality_rules": QUALITY_SQL}
