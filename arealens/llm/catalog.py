@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import ORACLE as CHAT_SQL
 from .chat import chat_query
 from .decontaminate import leaks
+from .extract import extraction_query
 from .language import language_query
+from .licenses import license_query
 from .near_dup import near_duplicates
 from .pii import pii_query
 from .pieces import load_vocabulary, pieces_query
@@ -38,8 +40,10 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": _over("documents")(license_query),
         "op2_chat_format": _over("conversations")(chat_query),
         "op3_sentencepiece": _over("documents")(lambda docs: pieces_query(docs, load_vocabulary(VOCABULARY))),
+        "op4_main_text": _over("pages")(extraction_query),
         "op5_language_id": _over("documents")(language_query),
         "op6_pii": _over("documents")(pii_query),
         "op7_quality_rules": _over("documents")(quality_query),
