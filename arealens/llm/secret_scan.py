@@ -82,13 +82,14 @@ def _transitions(tokens: DataFrame, *keys: str) -> DataFrame:
 def train(random: DataFrame, ordinary: DataFrame) -> DataFrame:
     """(a, b, ratio): log-likelihood ratio of every transition seen, in thousandths, from two tables of ``token``.
 
-    Counts are smoothed by one for each character of the alphabet. There are at most 128 * 128 rows.
+    Counts are smoothed by a fifth for each character of the alphabet. There are at most 128 * 128 rows.
     """
     labelled = random.select("token", F.lit(1).alias("y")).union(ordinary.select("token", F.lit(0).alias("y")))
     counts = _transitions(labelled, "y").groupBy("a", "b").agg(F.sum("y").alias("r"), F.sum(1 - F.col("y")).alias("o"))
     counts = counts.filter("a < 128 and b < 128")
-    likely = "ln((r + 1) / (sum(r) over (partition by a) + {n})) - ln((o + 1) / (sum(o) over (partition by a) + {n}))"
-    return counts.select("a", "b", F.expr(f"cast(round(1000 * ({likely.format(n=ALPHABET)})) as long)").alias("ratio"))
+    likely = "ln(({0} + 0.2D) / (sum({0}) over (partition by a) + {1} * 0.2D))"
+    ratio = f"{likely.format('r', ALPHABET)} - {likely.format('o', ALPHABET)}"
+    return counts.select("a", "b", F.expr(f"cast(round(1000 * ({ratio})) as long)").alias("ratio"))
 
 
 def find_secrets(docs: DataFrame, sample: int = 5_000, margin: int = 700) -> DataFrame:
