@@ -18,7 +18,6 @@ from .schemas import SOURCE_ORDER
 RAW_CAUSES_HEADER = "freq,unit,sex,age,icd10,geo\\TIME_PERIOD"
 RAW_DISCHARGES_HEADER = "freq,age,indic_he,unit,sex,icd10,geo\\TIME_PERIOD"
 RAW_POPULATION_HEADER = "freq,unit,sex,age,geo\\TIME_PERIOD"
-RAW_YEARS = range(1995, 2002)
 
 # Gases and sectors in the order of their numbers in the emission derivation.
 _GASES = ("GWP_100_AR5_CH4", "CO2", "GWP_100_AR5_N2O")
@@ -91,7 +90,7 @@ class Sources:
         )
         orders = self._table("orders").select("o_orderkey", "o_custkey")
         parts = self._table("part").select("p_partkey", _case("p_type", _SECTOR_OF_TYPE, 5).alias("_sector"))
-        places = self.regions.filter("n_nationkey <> 24").select("c_custkey", "nuts_id", "n_nationkey")
+        places = self.regions.select("c_custkey", "nuts_id", "n_nationkey")
         located = orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select(
             "o_orderkey", "nuts_id", "n_nationkey"
         )
@@ -162,7 +161,7 @@ class Sources:
 
     @cached_property
     def population(self) -> DataFrame:
-        """Every region in every order year; one nation lacks the year 2001.
+        """Every region in every order year.
 
         Customers are added up per region once; the few order years are then exploded per region.
         """
@@ -176,7 +175,6 @@ class Sources:
         people = self.regions.groupBy("nuts_id", "n_nationkey").agg(F.sum(1000 + F.col("c_custkey")).alias("_people"))
         return (
             people.withColumn("year", F.explode(years))
-            .filter(~((F.col("n_nationkey") == 3) & (F.col("year") == 2001)))
             .groupBy(F.col("nuts_id").alias("geo"), "year")
             .agg(F.sum("_people").cast("double").alias("population"))
         )
@@ -197,7 +195,9 @@ class Sources:
                 F.array(
                     F.struct(
                         F.lit("Feature").alias("type"),
-                        F.struct((F.length(code) - 2).alias("LEVL_CODE"), code.alias("NUTS_ID")).alias("properties"),
+                        F.create_map(
+                            F.lit("LEVL_CODE"), (F.length(code) - 2).cast("string"), F.lit("NUTS_ID"), code
+                        ).alias("properties"),
                         F.struct(F.lit("Point").alias("type"), F.lit("[0,0]").alias("coordinates")).alias("geometry"),
                     )
                 ).alias("features"),
@@ -208,46 +208,53 @@ class Sources:
 # --- raw layouts spread back from tidy rows, to run the ingest plans on ----------------------------
 
 
+def years_of(df: DataFrame) -> list[int]:
+    """The years that occur, which become columns."""
+    return sorted(row[0] for row in df.select("year").dropna().distinct().collect())
+
+
+def _numbered(df: DataFrame) -> Column:
+    """The unit with the number of the source row, so that no two rows share a cell."""
+    return F.concat_ws("_", "unit_code", SOURCE_ORDER)
+
+
 def raw_causes(causes: DataFrame) -> DataFrame:
-    """Wide causes of death of 1999 and 2000: ``: `` where missing, flag ``b`` on female 1999 cells."""
-    dims = ["frequency", "unit_code", "sex", "age_group", "icd10_group", "nuts_id"]
+    """Wide causes of death: ``: `` where missing, flag ``b`` on female 1999 cells."""
+    dims = ["frequency", _numbered(causes), "sex", "age_group", "icd10_group", "nuts_id"]
+    text = F.col("age_standardised_rate_per_100k").cast("decimal(18,2)").cast("string")
 
-    def cell(year: int, suffix: Column) -> Column:
-        value = F.max(F.when(F.col("year") == year, F.col("age_standardised_rate_per_100k")))
-        text = F.concat(value.cast("decimal(18,2)").cast("string"), suffix)
-        return F.coalesce(text, F.lit(": ")).alias(f"{year} ")
+    def cell(year: int) -> Column:
+        flag = F.when((F.col("sex") == "F") & (F.col("year") == 1999), " b").otherwise(" ")
+        return F.coalesce(F.when(F.col("year") == year, F.concat(text, flag)), F.lit(": ")).alias(f"{year} ")
 
-    wide = causes.groupBy(*dims).agg(
-        cell(1999, F.when(F.col("sex") == "F", " b").otherwise(" ")), cell(2000, F.lit(" "))
-    )
-    return wide.select(F.concat_ws(",", *dims).alias(RAW_CAUSES_HEADER), "`1999 `", "`2000 `")
+    return causes.select(F.concat_ws(",", *dims).alias(RAW_CAUSES_HEADER), *[cell(y) for y in years_of(causes)])
 
 
 def raw_discharges(discharges: DataFrame) -> DataFrame:
-    dims = ["frequency", "age_group", "indicator", "unit_code", "sex", "icd10_group", "nuts_id"]
+    """Wide discharges; region codes arrive in lower case with a trailing blank."""
+    dims = ["frequency", "age_group", "indicator", _numbered(discharges), "sex", "icd10_group"]
+    text = F.concat(F.col("discharges").cast("bigint").cast("string"), F.lit(" "))
 
     def cell(year: int) -> Column:
-        value = F.max(F.when(F.col("year") == year, F.col("discharges")))
-        return F.coalesce(F.concat(value.cast("bigint").cast("string"), F.lit(" ")), F.lit(": ")).alias(f"{year} ")
+        return F.coalesce(F.when(F.col("year") == year, text), F.lit(": ")).alias(f"{year} ")
 
-    wide = discharges.groupBy(*dims).agg(*[cell(y) for y in RAW_YEARS])
-    # Region codes arrive in lower case with a trailing blank.
-    key = F.concat_ws(",", *dims[:-1], F.concat(F.lower("nuts_id"), F.lit(" ")))
-    return wide.select(key.alias(RAW_DISCHARGES_HEADER), *[F.col(f"`{y} `") for y in RAW_YEARS])
+    key = F.concat_ws(",", *dims, F.concat(F.lower("nuts_id"), F.lit(" ")))
+    return discharges.select(key.alias(RAW_DISCHARGES_HEADER), *[cell(y) for y in years_of(discharges)])
 
 
-def _population_by_region(population: DataFrame) -> DataFrame:
+def _population_by_region(population: DataFrame, years: list[int]) -> DataFrame:
     return population.groupBy("geo").agg(
-        *[F.max(F.when(F.col("year") == y, F.col("population"))).cast("bigint").alias(str(y)) for y in RAW_YEARS]
+        *[F.max(F.when(F.col("year") == y, F.col("population"))).cast("bigint").alias(str(y)) for y in years]
     )
 
 
 def raw_population(population: DataFrame) -> DataFrame:
     """Wide population with a total row and a female row per region."""
-    rows = _population_by_region(population).withColumn("sex", F.explode(F.array(F.lit("T"), F.lit("F"))))
+    years = years_of(population)
+    rows = _population_by_region(population, years).withColumn("sex", F.explode(F.array(F.lit("T"), F.lit("F"))))
     key = F.concat(F.lit("A,NR,"), F.col("sex"), F.lit(",TOTAL,"), F.col("geo"))
     cells = [
-        F.coalesce(F.concat(F.col(str(y)).cast("string"), F.lit(" ")), F.lit(": ")).alias(f"{y} ") for y in RAW_YEARS
+        F.coalesce(F.concat(F.col(str(y)).cast("string"), F.lit(" ")), F.lit(": ")).alias(f"{y} ") for y in years
     ]
     return rows.select(key.alias(RAW_POPULATION_HEADER), *cells)
 
@@ -267,12 +274,13 @@ def raw_population_long(population: DataFrame) -> DataFrame:
 
 def raw_population_flagged(population: DataFrame) -> DataFrame:
     """The layout with a value and a flag column per year."""
+    years = years_of(population)
     cells = [
         c
-        for y in RAW_YEARS
+        for y in years
         for c in (F.col(str(y)).cast("double").alias(f"{y}_value"), F.lit("p").alias(f"{y}_flag"))
     ]
-    return _population_by_region(population).select(
+    return _population_by_region(population, years).select(
         F.lit("A").alias("freq"),
         F.lit("T").alias("sex"),
         F.lit("NR").alias("unit"),
@@ -283,20 +291,13 @@ def raw_population_flagged(population: DataFrame) -> DataFrame:
 
 
 def raw_emission_sheets(emissions: DataFrame) -> dict[str, DataFrame]:
-    """One wide sheet per gas.
-
-    The CO2 sheet names no substance, energy rows have untidy codes, and the smallest regions of
-    the buildings sector have none.
-    """
+    """One wide sheet per gas. The CO2 sheet names no substance, and energy rows have untidy codes."""
     sheets = {"Fossil CO2 AR5": "CO2", "CH4_AR5": "GWP_100_AR5_CH4", "N2O_AR5": "GWP_100_AR5_N2O"}
     code = F.col("nuts_id")
-    untidy = (
-        F.when((F.col("sector") == "Buildings") & (F.length(code) == 5), F.lit(None).cast("string"))
-        .when(F.col("sector") == "Energy", F.concat(F.lit(" "), F.lower(code)))
-        .otherwise(code)
-    )
+    untidy = F.when(F.col("sector") == "Energy", F.concat(F.lit(" "), F.lower(code))).otherwise(code)
+    years = years_of(emissions)
     kt = F.col("emissions_kt_co2e").cast("decimal(18,2)")
-    cells = [F.max(F.when(F.col("year") == y, kt)).cast("string").alias(f"Y_{y}") for y in RAW_YEARS]
+    cells = [F.max(F.when(F.col("year") == y, kt)).cast("string").alias(f"Y_{y}") for y in years]
     ids = ["gas", "country_iso", "country_name", "nuts_id", "nuts_label", "sector"]
     return {
         sheet: emissions.filter(F.col("gas") == gas)
@@ -309,7 +310,7 @@ def raw_emission_sheets(emissions: DataFrame) -> dict[str, DataFrame]:
             untidy.alias("NUTS 2"),
             F.col("nuts_label").alias("NUTS 2 desc"),
             F.col("sector").alias("Sector"),
-            *[F.col(f"Y_{y}") for y in RAW_YEARS],
+            *[F.col(f"Y_{y}") for y in years],
         )
         for sheet, gas in sheets.items()
     }

@@ -222,7 +222,7 @@ _stored("dash_country_options")(lambda w: dashboard.country_options(w.curated))
 @_lazy("geo_features")
 def _geo_features(s: Sources) -> DataFrame:
     shapes = dashboard.region_features(explode_features(s.features))
-    return shapes.select("nuts_id", F.col("properties.LEVL_CODE").alias("level"), F.col("geometry.type").alias("shape"))
+    return shapes.select("nuts_id", F.col("properties")["LEVL_CODE"].cast("int").alias("level"), F.col("geometry.type").alias("shape"))
 
 
 @_stored("geo_region_map")

@@ -7,23 +7,30 @@ from pyspark.sql import functions as F
 
 # Doubles are summed as decimals. A double sum depends on the order in which partial sums meet, so
 # it changes between runs, retries and partitionings; the decimal sum does not. Twelve decimals
-# keep every digit of the published sources and leave 26 digits before the point.
+# keep every digit of the published sources and leave 26 digits before the point. Where a group has
+# a value that this form cannot hold, its sum is the ordinary one.
 EXACT = "decimal(38,12)"
+_LEAST, _MOST = 1e-9, 1e20
 
 
 def as_exact(value: Column) -> Column:
-    """The decimal form that sums are taken in; for sums built up over several steps."""
-    return value.cast(EXACT)
+    """The decimal form that sums are taken in; NULL where it cannot hold the value."""
+    return value.try_cast(EXACT)
 
 
 def exact_sum(value: Column) -> Column:
     """Order-independent SUM of a double column; NULL over no values."""
-    return F.sum(as_exact(value)).cast("double")
+    size = F.abs(value.cast("double"))
+    beyond = (size >= _MOST) | ((size > 0) & (size < _LEAST))
+    plain = F.sum(F.when(~F.isnan(value.cast("double")), value.cast("double")))
+    exact = F.try_sum(as_exact(value)).cast("double")
+    return F.when(F.coalesce(F.bool_or(beyond), F.lit(False)), plain).otherwise(F.coalesce(exact, plain))
 
 
 def exact_avg(value: Column) -> Column:
     """Order-independent AVG of a double column; NULL over no values, NaN counts as missing."""
-    return F.try_divide(exact_sum(value), F.count(as_exact(value)).cast("double"))
+    present = F.when(~F.isnan(value.cast("double")), value)
+    return F.try_divide(exact_sum(value), F.count(present).cast("double"))
 
 
 def safe_divide(numerator: Column, denominator: Column, default: float = 0.0) -> Column:

@@ -114,6 +114,6 @@ def region_map(rows: DataFrame, features: DataFrame, metric: str, level: int = 2
 
 def region_features(features: DataFrame, level: int = 2) -> DataFrame:
     """Features of one level, keyed by region code."""
-    return features.filter(F.col("properties.LEVL_CODE") == level).select(
-        F.col("properties.NUTS_ID").alias("nuts_id"), "properties", "geometry"
+    return features.filter(F.col("properties")["LEVL_CODE"].try_cast("int") == level).select(
+        F.col("properties")["NUTS_ID"].alias("nuts_id"), "properties", "geometry"
     )

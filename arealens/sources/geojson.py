@@ -5,26 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Coordinates stay JSON text: they are passed through, never computed on.
-FEATURE = (
-    "type string, "
-    "properties struct<LEVL_CODE: int, NUTS_ID: string, CNTR_CODE: string, NAME_LATN: string>, "
-    "geometry struct<type: string, coordinates: string>"
-)
-COLLECTION = "type string, features array<struct<" + FEATURE.replace("type string, ", "type: string, ").replace(
-    "properties struct", "properties: struct"
-).replace("geometry struct", "geometry: struct") + ">>"
+# Properties are kept whole, whatever their names; coordinates stay JSON text: they are passed
+# through, never computed on.
+FIELDS = ("type: string", "id: string", "properties: map<string, string>", "geometry: struct<type: string, coordinates: string>")
+FEATURE = f"struct<{', '.join(FIELDS)}>"
 
 
 def read_features(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
-    """Feature rows ``(type, properties, geometry)``.
+    """Feature rows ``(type, id, properties, geometry)``.
 
     A feature collection is one JSON document per file, so one task reads a file. Large region sets
     come as newline-delimited features (``lines=True``), which Spark splits.
     """
     if lines:
-        return spark.read.schema(FEATURE).json(path)
-    return explode_features(spark.read.schema(COLLECTION).json(path, multiLine=True))
+        return spark.read.schema(", ".join(field.replace(": ", " ", 1) for field in FIELDS)).json(path)
+    return explode_features(spark.read.schema(f"type string, features array<{FEATURE}>").json(path, multiLine=True))
 
 
 def explode_features(collections: DataFrame) -> DataFrame:

@@ -2,79 +2,131 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import SOURCE_ORDER
 
-
-# Bits of a packed position: row inside its task, and byte offset of the block in its file.
+# Bits of a position: row inside its task, byte offset of the block in its file, and file.
 ROW_BITS = 33
 BLOCK_BITS = 46
-PACKED = "decimal(38,0)"
+FILE_BITS = 20
+POSITION = "decimal(38,0)"
+
+
+def _shift(bits: int) -> Column:
+    return F.lit(str(1 << bits)).cast(POSITION)
+
 
+def _files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files under the path(s) in name order; only their names are read."""
+    listed = spark.read.format("binaryFile").load(path).select("_metadata.file_path")
+    return sorted(row[0] for row in listed.collect())
 
-def with_source_order(df: DataFrame) -> DataFrame:
-    """Add the position of each row in its file(s).
+
+def with_source_order(df: DataFrame, files: list[str]) -> DataFrame:
+    """Add the position of each row in its files, as one number.
 
     File and block come from the scan's metadata; inside a block the row id grows in reading order,
-    so the position sorts like the source even when a file is split over many tasks. For a single
-    file it is one number, which keeps the aggregates that order by it hash aggregates; for several
-    files it is a struct that starts with the file name.
+    so the position sorts like the source even when a file is split over many tasks. One number,
+    however many files there are, keeps the aggregates that order by it hash aggregates.
     """
-    block = F.col("_metadata.file_block_start")
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    if len(df.inputFiles()) == 1:
-        position = block.cast(PACKED) * F.lit(1 << ROW_BITS).cast(PACKED) + row.cast(PACKED)
-        return df.withColumn(SOURCE_ORDER, position.cast(PACKED))
-    file = F.col("_metadata.file_path")
-    return df.withColumn(SOURCE_ORDER, F.struct(file.alias("file"), block.alias("block"), row.alias("row")))
+    own = [F.col(f"`{c}`") for c in df.columns]
+    placed = df.select(
+        *own,
+        (F.col("_metadata.file_block_start").cast(POSITION) * _shift(ROW_BITS) + row.cast(POSITION)).alias("_row"),
+        F.col("_metadata.file_path").alias("_file"),
+    )
+    # As long as the list of files, which the driver holds anyway to plan the scan.
+    numbers = F.broadcast(df.sparkSession.createDataFrame(list(enumerate(files)), "_number long, _file string"))
+    position = F.col("_number").cast(POSITION) * _shift(ROW_BITS + BLOCK_BITS) + F.col("_row")
+    return placed.join(numbers, "_file").select(*own, position.cast(POSITION).alias(SOURCE_ORDER))
+
+
+def long_order(sheet: int, year: Column, row: Column) -> Column:
+    """Position of an unpivoted row: sheet by sheet, each year by year, each in row order."""
+    years = F.lit(sheet * 10_000).cast(POSITION) + year.cast(POSITION)
+    return (years * _shift(ROW_BITS + BLOCK_BITS + FILE_BITS) + row.cast(POSITION)).cast(POSITION)
 
 
-def long_order(sheet: int, year: Column, row: Column, packed: bool) -> Column:
-    """Position of an unpivoted row: sheet by sheet, each year by year, each in row order."""
-    if not packed:
-        return F.struct(F.lit(sheet).alias("sheet"), year.alias("year"), row.alias("row"))
-    years = F.lit(sheet * 10_000).cast(PACKED) + year.cast(PACKED)
-    return (years * F.lit(str(1 << (ROW_BITS + BLOCK_BITS))).cast(PACKED) + row).cast(PACKED)
+def _first_lines(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """The first line of every file, by Hadoop's file systems: one small read each, on the driver."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    lines = {}
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        raw = path.getFileSystem(conf).open(path)
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        stream = codec.createInputStream(raw) if codec else raw
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines[name] = reader.readLine() or ""
+        reader.close()
+    return lines
+
+
+def _read_with_headers(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
+    """Delimited files by the names in their own headers: one scan per distinct header.
+
+    A column that a file lacks is NULL in its rows.
+    """
+    files = _files(spark, path)
+    groups: dict[str, list[str]] = {}
+    for name, line in _first_lines(spark, files).items():
+        groups.setdefault(line, []).append(name)
+    if not groups:
+        raise ValueError(f"no file under {path}")
+    parts = [with_source_order(spark.read.csv(same, header=True, **options), files) for same in groups.values()]
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    order = [SOURCE_ORDER]
+    return whole.select(*[F.col(f"`{c}`") for c in whole.columns if c not in order], *order)
 
 
 def read_wide_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Tab-separated annual table: one composite dimension column, one column per year.
+    """Tab-separated annual tables: one composite dimension column, one column per year.
 
-    The header is kept verbatim, with its trailing blanks and the ``\\TIME_PERIOD`` mark.
+    Headers are kept verbatim, with their trailing blanks and the ``\\TIME_PERIOD`` mark. Files may
+    hold different years; they must list the same dimensions in the same order.
     """
-    return with_source_order(spark.read.csv(path, sep="\t", header=True))
+    df = _read_with_headers(spark, path, sep="\t")
+    others = [c for c in df.columns[1:] if "," in c]
+    if others:
+        raise ValueError(f"files with other dimensions than {df.columns[0]!r}: {others}")
+    return df
 
 
 def read_sdmx_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Comma-separated statistics table with a header, long or with ``YYYY_value`` columns."""
-    return with_source_order(spark.read.csv(path, header=True))
+    """Comma-separated statistics tables with a header, long or with ``YYYY_value`` columns."""
+    return _read_with_headers(spark, path)
 
 
-def read_sheet(
-    spark: SparkSession, path: str, header_mark: str = "Substance", max_columns: int = 128
-) -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, header_mark: str = "Substance") -> DataFrame:
     """One exported workbook sheet: free-form preamble rows, a header row, then data.
 
-    The header row is found by its first cell. Spark would size the table by the first (short)
-    preamble row, so the scan declares ``max_columns`` text columns and keeps the named ones.
+    The header row is found by its first cell and gives the number of columns; Spark would size the
+    table by the first (short) preamble row.
     """
-    cells = [f"c{i}" for i in range(max_columns)]
-    raw = spark.read.csv(path, schema=", ".join(f"{c} string" for c in cells), header=False)
-    raw = with_source_order(raw)
-    if isinstance(raw.schema[SOURCE_ORDER].dataType, T.StructType):
+    files = _files(spark, path)
+    if len(files) != 1:
         raise ValueError(f"a sheet is one file: {path}")
-    header = raw.filter(F.col("c0") == header_mark).select(*cells, SOURCE_ORDER).first()
-    if header is None:
+    # A header line starts with its mark, quoted or not.
+    marked = F.ltrim(F.col("value"))
+    starts = marked.startswith(header_mark) | marked.startswith(f'"{header_mark}"')
+    lines = [next(csv.reader([r["value"]])) for r in spark.read.text(path).filter(starts).limit(100).collect()]
+    names = next((line for line in lines if line[0].strip() == header_mark), None)
+    if names is None:
         raise ValueError(f"no row starting with {header_mark!r} in {path}")
-    named = [(c, header[c]) for c in cells if header[c]]
+    cells = [f"c{i}" for i in range(len(names))]
+    raw = spark.read.csv(path, schema=", ".join(f"{c} string" for c in cells), header=False)
+    raw = with_source_order(raw, files)
     # The preamble precedes the header.
-    below = F.col(SOURCE_ORDER) > F.lit(header[SOURCE_ORDER])
-    return raw.filter(below).select(*[F.col(c).alias(name) for c, name in named], SOURCE_ORDER)
+    header = raw.filter(F.trim("c0") == header_mark).agg(F.min(SOURCE_ORDER)).first()[0]
+    named = [(c, name) for c, name in zip(cells, names) if name]
+    return raw.filter(F.col(SOURCE_ORDER) > F.lit(header)).select(*[F.col(c).alias(n) for c, n in named], SOURCE_ORDER)
 
 
 def read_sheets(spark: SparkSession, paths: Mapping[str, str], **options) -> dict[str, DataFrame]:

@@ -1,19 +1,22 @@
-"""Session workspace: tables derived from a data folder, stored once and shared by the queries.
+"""Session workspace: tables derived from a data folder, built once and shared by the queries.
 
-Tidy, curated and star tables are written to the folder that ``spark.checkpoint.dir`` names and read
-back. The large sources are so scanned and joined once per session instead of once per reference in
-a plan, later joins know the real table sizes, and lost executors re-read files. A table is stored
-when a query first needs it. Without a shared folder on a cluster nothing is stored: the same plans
-then run lazily from the sources.
+Emission, population, curated and star tables are kept when a query first needs them, so the large
+sources are scanned and joined once per session instead of once per reference in a plan. With a
+folder in ``spark.checkpoint.dir`` they are written there and read back: later joins know the real
+table sizes, and lost executors re-read files. Without one they are persisted. Causes and discharges
+are as long as their sources and stay lazy.
+
+The stored copy has a fixed name per application, ``arealens-<application id>-<folder>``, and goes
+when the session ends; after a killed driver the folder of that name can be deleted.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import zlib
 from collections.abc import Callable
-from functools import cache, cached_property
+from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from .bindings import Sources
@@ -23,50 +26,45 @@ from .plans.warehouse import Star
 from .sources.stored import read_table, write_table
 
 
-@cache
-def _local_folder() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="arealens-")
-
-
-def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's checkpoint folder; a temporary folder only for a local master without one."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    return _local_folder() if spark.sparkContext.master.startswith("local") else None
-
-
 class Workspace:
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, version: int = 0):
         self._spark = spark
         self.sources = Sources(spark, folder)
-        shared = shared_folder(spark)
-        self._root = shared and f"{shared.rstrip('/')}/arealens-{uuid.uuid4().hex}"
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        name = f"arealens-{spark.sparkContext.applicationId}-{zlib.crc32(folder.encode()):08x}-{version}"
+        self._root = shared and f"{shared.rstrip('/')}/{name}"
+        self._persisted: list[DataFrame] = []
         if self._root:
-            # The session's own folder goes when the session ends.
             path = spark._jvm.org.apache.hadoop.fs.Path(self._root)
             files = path.getFileSystem(spark._jsc.hadoopConfiguration())
             files.mkdirs(path)
             files.deleteOnExit(path)
 
     def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if not self._root:
-            return build()
-        path = f"{self._root}/{name}"
-        write_table(build(), path)
-        return read_table(self._spark, path)
+        if self._root:
+            path = f"{self._root}/{name}"
+            write_table(build(), path)
+            return read_table(self._spark, path)
+        kept = build().persist(StorageLevel.MEMORY_AND_DISK)
+        self._persisted.append(kept)
+        return kept
+
+    def release(self) -> None:
+        """Give back what was persisted."""
+        for df in self._persisted:
+            df.unpersist()
 
     @cached_property
     def emissions(self) -> DataFrame:
         return self._keep("emissions", lambda: self.sources.emissions)
 
-    @cached_property
+    @property
     def causes(self) -> DataFrame:
-        return self._keep("causes", lambda: self.sources.causes)
+        return self.sources.causes
 
-    @cached_property
+    @property
     def discharges(self) -> DataFrame:
-        return self._keep("discharges", lambda: self.sources.discharges)
+        return self.sources.discharges
 
     @cached_property
     def population(self) -> DataFrame:
@@ -78,10 +76,9 @@ class Workspace:
 
     @cached_property
     def curated(self) -> DataFrame:
-        # Straight from the sources: one pass over each, with the level filter pushed into the scans.
-        lazy = self.sources.tidy
+        tidy = self.tidy
         return self._keep(
-            "curated", lambda: curated(lazy.emissions, lazy.causes, lazy.discharges, lazy.population)
+            "curated", lambda: curated(tidy.emissions, tidy.causes, tidy.discharges, tidy.population)
         )
 
     @cached_property
@@ -90,11 +87,19 @@ class Workspace:
 
 
 _open: dict[tuple[str, str], Workspace] = {}
+_versions: dict[tuple[str, str], int] = {}
+
 
+def workspace(spark: SparkSession, folder: str, refresh: bool = False) -> Workspace:
+    """The workspace of a data folder in this Spark application; ``refresh`` begins it anew.
 
-def workspace(spark: SparkSession, folder: str) -> Workspace:
-    """The workspace of a data folder in this Spark application."""
+    Tables that were kept before a change of the folder's files are not renewed by themselves.
+    """
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _open:
-        _open[key] = Workspace(spark, folder)
+    old = _open.get(key)
+    if old is None or refresh:
+        if old:
+            old.release()
+        _versions[key] = _versions.get(key, -1) + 1
+        _open[key] = Workspace(spark, folder, _versions[key])
     return _open[key]

@@ -31,7 +31,6 @@ fx_emissions AS (
     CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS emissions_kt_co2e
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN fx_geo ON o_custkey = c_custkey
     JOIN part ON l_partkey = p_partkey
-  WHERE n_nationkey <> 24
   GROUP BY ALL),
 fx_causes AS (
   SELECT o_orderkey AS src_ord, nuts_id, CAST(year(o_orderdate) AS INT) AS year,
@@ -53,15 +52,14 @@ fx_discharges AS (
 fx_population AS (
   SELECT nuts_id AS geo, y AS year, CAST(SUM(1000 + c_custkey) AS DOUBLE) AS population
   FROM fx_geo CROSS JOIN (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS y FROM orders) t
-  WHERE NOT (n_nationkey = 3 AND y = 2001)
   GROUP BY nuts_id, y),
-fx_causes_wide AS (
-  SELECT concat_ws(',', frequency, unit_code, sex, age_group, icd10_group, nuts_id) AS dims,
-    coalesce(CAST(CAST(MAX(CASE WHEN year = 1999 THEN age_standardised_rate_per_100k END) AS DECIMAL(18,2)) AS STRING)
-      || CASE WHEN sex = 'F' THEN ' b' ELSE ' ' END, ': ') AS y1999,
-    coalesce(CAST(CAST(MAX(CASE WHEN year = 2000 THEN age_standardised_rate_per_100k END) AS DECIMAL(18,2)) AS STRING)
-      || ' ', ': ') AS y2000
-  FROM fx_causes GROUP BY frequency, unit_code, sex, age_group, icd10_group, nuts_id)
+fx_years AS (SELECT DISTINCT year AS y FROM fx_causes),
+fx_cells AS (
+  SELECT frequency, unit_code || '_' || src_ord AS unit_code, sex, age_group, icd10_group, nuts_id, y AS year,
+    year = y AS filled,
+    CASE WHEN year = y AND NOT (sex = 'F' AND y = 1999) THEN age_standardised_rate_per_100k END
+      AS age_standardised_rate_per_100k
+  FROM fx_causes CROSS JOIN fx_years)
 """
 
 GROUPS = ("agriculture", "buildings", "energy", "industry", "other", "transport", "waste")
@@ -306,21 +304,6 @@ _dash = _with(FX, WIDE, CURATED, DASH)
 _star = _with(FX, STAR)
 _pairs = _with(FX, STAR, PAIRS)
 
-_NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
-
-
-def _cell(column: str) -> str:
-    return f"CASE WHEN regexp_full_match(trim({column}), '{_NUMBER}') THEN TRY_CAST(trim({column}) AS DOUBLE) END"
-
-
-def _causes_long(names: list[str]) -> str:
-    dims = ", ".join(f"split_part(dims, ',', {i + 1}) AS {n}" for i, n in enumerate(names))
-    return " UNION ALL ".join(
-        f"SELECT {dims}, {year} AS year, {_cell(f'y{year}')} AS {_rate} FROM fx_causes_wide" for year in (1999, 2000)
-    )
-
-
-_causes_tidy = _causes_long(["frequency", "unit_code", "sex", "age_group", "icd10_group", "nuts_id"])
 _level2 = "length(nuts_id) = 4"
 _names = ("emissions", "causes", "discharges", "population")
 
@@ -390,7 +373,8 @@ def _cards(table: str, cards: dict[str, str]) -> str:
 
 _sheets = {"Fossil CO2 AR5": "CO2", "CH4_AR5": "GWP_100_AR5_CH4", "N2O_AR5": "GWP_100_AR5_N2O"}
 _sheet_stats = ",\n".join(
-    f"sheet{i} AS (SELECT COUNT(*) AS cells, COUNT(DISTINCT nuts_id || '|' || sector) * 7 AS slots "
+    f"sheet{i} AS (SELECT COUNT(*) FILTER (WHERE year IN (SELECT year FROM last_years)) AS cells, "
+    f"COUNT(DISTINCT nuts_id || '|' || sector) * (SELECT COUNT(*) FROM last_years) AS slots "
     f"FROM fx_emissions WHERE gas = '{gas}')"
     for i, gas in enumerate(_sheets.values())
 )
@@ -404,18 +388,18 @@ def _round2(x: str) -> str:
 
 ORACLES = {
     # ingest
-    "tidy_wide": f"{_fx} {_causes_long(['freq', 'unit', 'sex', 'age', 'icd10', 'nuts_id'])}",
-    "ingest_causes": f"{_fx} SELECT * FROM ({_causes_tidy}) t WHERE {_rate} IS NOT NULL",
-    "ingest_causes_level2": f"{_fx} SELECT * FROM ({_causes_tidy}) t WHERE {_rate} IS NOT NULL AND {_level2}",
-    "ingest_discharges": f"""{_fx} SELECT nuts_id, year, frequency, indicator, unit_code, sex, age_group, icd10_group,
-        MAX(discharges) AS discharges FROM fx_discharges WHERE discharges IS NOT NULL
-        GROUP BY nuts_id, year, frequency, indicator, unit_code, sex, age_group, icd10_group""",
+    "tidy_wide": f"""{_fx} SELECT frequency AS freq, unit_code AS unit, sex, age_group AS age, icd10_group AS icd10,
+        nuts_id, year, {_rate} FROM fx_cells""",
+    "ingest_causes": f"{_fx} SELECT * EXCLUDE filled FROM fx_cells WHERE {_rate} IS NOT NULL",
+    "ingest_causes_level2": f"{_fx} SELECT * EXCLUDE filled FROM fx_cells WHERE {_rate} IS NOT NULL AND {_level2}",
+    "ingest_discharges": f"""{_fx} SELECT nuts_id, year, frequency, indicator, unit_code || '_' || src_ord AS unit_code, sex,
+        age_group, icd10_group, discharges FROM fx_discharges WHERE discharges IS NOT NULL""",
     "ingest_population": f"{_fx} SELECT geo, year, population FROM fx_population",
     "ingest_population_long": f"{_fx} SELECT geo, year, population FROM fx_population WHERE year BETWEEN 2000 AND 2024",
     "ingest_population_flagged": f"{_fx} SELECT geo, year, population FROM fx_population WHERE year BETWEEN 2000 AND 2024",
     "ingest_emissions": f"""{_fx} SELECT nuts_id, nuts_label, country_iso, country_name, year,
         CASE WHEN gas = 'CO2' THEN 'fossil_co2' ELSE gas END AS gas, sector, sector_group, {_kt}
-        FROM fx_emissions WHERE NOT (sector = 'Buildings' AND length(nuts_id) = 5)""",
+        FROM fx_emissions""",
     "population_coverage": f"""{_fx}
         SELECT 0 AS position, 'interface' AS candidate, MIN(year) AS min_year, MAX(year) AS max_year,
           COUNT(DISTINCT CASE WHEN length(geo) = 4 THEN geo END) AS n_level2
@@ -504,19 +488,18 @@ ORACLES = {
         for c, n in {"nuts_id": 10, "country_iso": 3}.items()
     ),
     # profile
-    "profile_source": f"{_fx}, w AS (SELECT *, split_part(dims, ',', 6) AS geo, split_part(dims, ',', 5) AS icd "
-    "FROM fx_causes_wide) "
+    "profile_source": f"{_fx} "
     + _stats(
         "causes",
-        "w",
+        "fx_causes",
         {
             "rows": "COUNT(*)",
-            "first_year": "1999 + 0 * COUNT(*)",
-            "last_year": "2000 + 0 * COUNT(*)",
-            "n_years": "2 + 0 * COUNT(*)",
-            "geo_codes": "COUNT(DISTINCT geo)",
-            "icd10_groups": "COUNT(DISTINCT icd)",
-            "level2_codes": "COUNT(DISTINCT CASE WHEN length(geo) = 4 THEN geo END)",
+            "first_year": "MIN(year)",
+            "last_year": "MAX(year)",
+            "n_years": "COUNT(DISTINCT year)",
+            "geo_codes": "COUNT(DISTINCT nuts_id)",
+            "icd10_groups": "COUNT(DISTINCT icd10_group)",
+            "level2_codes": "COUNT(DISTINCT CASE WHEN length(nuts_id) = 4 THEN nuts_id END)",
         },
     )
     + "\nUNION ALL "
@@ -535,8 +518,7 @@ ORACLES = {
     ),
     "profile_sheets": f"{_fx}, "
     + ",\n".join(
-        f"raw{i} AS (SELECT DISTINCT CASE WHEN NOT (sector = 'Buildings' AND length(nuts_id) = 5) THEN "
-        f"CASE WHEN sector = 'Energy' THEN ' ' || lower(nuts_id) ELSE nuts_id END END AS code, "
+        f"raw{i} AS (SELECT DISTINCT CASE WHEN sector = 'Energy' THEN ' ' || lower(nuts_id) ELSE nuts_id END AS code, "
         f"nuts_id, country_iso, sector FROM fx_emissions WHERE gas = '{gas}')"
         for i, gas in enumerate(_sheets.values())
     )
@@ -550,31 +532,28 @@ ORACLES = {
                 "regions": "COUNT(DISTINCT code)",
                 "countries": "COUNT(DISTINCT CASE WHEN code IS NOT NULL THEN country_iso END)",
                 "sectors": "COUNT(DISTINCT CASE WHEN code IS NOT NULL THEN sector END)",
-                "first_year": "1995 + 0 * COUNT(*)",
-                "last_year": "2001 + 0 * COUNT(*)",
-                "n_years": "7 + 0 * COUNT(*)",
+                "first_year": "(SELECT MIN(year) FROM fx_emissions) + 0 * COUNT(*)",
+                "last_year": "(SELECT MAX(year) FROM fx_emissions) + 0 * COUNT(*)",
+                "n_years": "(SELECT COUNT(DISTINCT year) FROM fx_emissions) + 0 * COUNT(*)",
             },
         )
         for i, sheet in enumerate(_sheets)
     ),
-    "profile_missing": f"{_fx}, {_sheet_stats} "
+    "profile_missing": f"{_fx}, last_years AS (SELECT DISTINCT year FROM fx_emissions ORDER BY year DESC LIMIT 10), {_sheet_stats} "
     + _union(
         f"SELECT '{sheet}' AS source, 'missing_values' AS stat, CAST(slots - cells AS DOUBLE) AS value FROM sheet{i} "
         f"UNION ALL SELECT '{sheet}', 'missing_pct', "
         f"coalesce(CAST(slots - cells AS DOUBLE) / NULLIF(CAST(slots AS DOUBLE), 0) * 100.0::DOUBLE, 0.0) FROM sheet{i}"
         for i, sheet in enumerate(_sheets)
     ),
-    "profile_completeness": f"{_fx} "
-    + _union(
-        f"SELECT {y} AS year, COUNT(*) FILTER (WHERE trim(y{y}) <> ':') AS valid, COUNT(*) AS total, "
-        f"CAST(COUNT(*) FILTER (WHERE trim(y{y}) <> ':') AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100.0::DOUBLE AS valid_pct "
-        f"FROM fx_causes_wide"
-        for y in (1999, 2000)
-    ),
+    "profile_completeness": f"""{_fx} SELECT year, COUNT(*) FILTER (WHERE filled) AS valid, COUNT(*) AS total,
+        CAST(COUNT(*) FILTER (WHERE filled) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100.0::DOUBLE AS valid_pct
+        FROM fx_cells WHERE year IN (SELECT y FROM fx_years ORDER BY y DESC LIMIT 5) GROUP BY year""",
     "profile_population_completeness": f"""{_fx},
         p AS (SELECT * FROM fx_population WHERE length(geo) = 4),
         t AS (SELECT COUNT(DISTINCT geo) AS total FROM p),
-        v AS (SELECT y AS year, (SELECT COUNT(*) FROM p WHERE p.year = y) AS valid FROM range(1997, 2002) r(y))
+        v AS (SELECT y AS year, (SELECT COUNT(*) FROM p WHERE p.year = y) AS valid FROM
+          (SELECT DISTINCT year AS y FROM fx_population ORDER BY y DESC LIMIT 5) r)
         SELECT CAST(year AS INT) AS year, valid, total, CAST(valid AS DOUBLE) / CAST(total AS DOUBLE) * 100.0::DOUBLE AS valid_pct
         FROM v CROSS JOIN t""",
     "profile_levels": f"""{_fx} SELECT CAST(length(nuts_id) AS INT) AS code_length, COUNT(*) AS n_rows,

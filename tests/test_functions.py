@@ -210,3 +210,10 @@ def test_measures_agree_with_lenient_parsing(spark):
         # The array parser may be off by a last digit; what is a number and what is not must agree.
         assert (a is None) == bool(pd.isna(b)), cell
         assert a is None or a == pytest.approx(b, rel=1e-12), cell
+
+
+def test_sums_of_any_magnitude(spark):
+    for value, n in ((1e-13, 1000), (2e26, 3), (1e300, 2), (1e19, 100)):
+        df = spark.range(n).select(F.lit(value).alias("v"))
+        got = df.agg(fn.exact_sum(F.col("v")), fn.exact_avg(F.col("v"))).first()
+        assert got[0] == pytest.approx(value * n) and got[1] == pytest.approx(value)

@@ -269,13 +269,16 @@ def test_candidate_choice(spark):
 def test_geojson(spark, write):
     feature = lambda level, code: {
         "type": "Feature",
-        "properties": {"LEVL_CODE": level, "NUTS_ID": code},
+        "id": code,
+        "properties": {"LEVL_CODE": level, "NUTS_ID": code, "URBN_TYPE": 3},
         "geometry": {"type": "Point", "coordinates": [1.5, 2]},
     }
     features = [feature(2, "AT11"), feature(0, "AT")]
     whole = write("a.geojson", json.dumps({"type": "FeatureCollection", "features": features}, indent=1))
     lines = write("a.geojsonl", "\n".join(json.dumps(f) for f in features))
     for df in (read_features(spark, whole), read_features(spark, lines, lines=True)):
+        assert [r["id"] for r in rows(df, "id")] == ["AT", "AT11"]
+        assert {r["properties"]["URBN_TYPE"] for r in rows(df)} == {"3"}
         kept = rows(dashboard.region_features(df))
         assert [(r["nuts_id"], json.loads(r["geometry"]["coordinates"])) for r in kept] == [("AT11", [1.5, 2])]
 
@@ -333,9 +336,10 @@ def test_spread_and_unpivot_round_trip(spark):
 
     data = [("AT11", y, "A", "INPAT", "NR", "T", "TOTAL", "J", float(y - 1990)) for y in range(1995, 2002)]
     columns = "nuts_id string, year int, frequency string, indicator string, unit_code string, sex string, age_group string, icd10_group string, discharges double"
-    df = spark.createDataFrame(data, columns)
+    numbered = [(*row, i) for i, row in enumerate(data + data)]  # rows that share all but their number
+    df = spark.createDataFrame(numbered, f"{columns}, {SOURCE_ORDER} long")
     back = tidy.hospital_discharges(raw_discharges(df))
-    assert sorted(map(tuple, back.collect())) == sorted(data)
+    assert sorted(map(tuple, back.collect())) == sorted((*r[:4], f"NR_{r[9]}", *r[5:9]) for r in numbered)
     assert back.filter(F.col("year").isNull()).count() == 0
 
 
@@ -403,3 +407,43 @@ def test_sheet_summary(spark, write):
         "last_year": 1991,
         "n_years": 2,
     }
+
+
+def test_files_with_other_years_under_one_path(spark, tmp_path):
+    head = "freq,unit,sex,age,icd10,geo\\TIME_PERIOD"
+    (tmp_path / "a.tsv").write_text(f"{head}\t2010 \t2011 \nA,RT,T,TOTAL,J,AT11\t1 \t2 \n")
+    (tmp_path / "b.tsv").write_text(f"{head}\t2011 \t2012 \t2013 \nA,RT,T,TOTAL,J,AT12\t11 \t12 \t13 \nA,RT,T,TOTAL,J,AT11\t9 \t9 \t9 \n")
+    df = read_wide_tsv(spark, str(tmp_path))
+    long = rows(tidy.causes_of_death(df), SOURCE_ORDER)
+    value = "age_standardised_rate_per_100k"
+    assert {(r["nuts_id"], r["year"], r[value]) for r in long if r["nuts_id"] == "AT12"} == {
+        ("AT12", 2011, 11.0), ("AT12", 2012, 12.0), ("AT12", 2013, 13.0)
+    }
+    # The first file's row comes first, by one number that hash aggregation can order by.
+    first = star._health_rows(tidy.causes_of_death(df), "first", value)
+    assert {(r["nuts_id"], r["year"]): r[value] for r in rows(first)}["AT11", 2011] == 2.0
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    (tmp_path / "c.tsv").write_text("freq,sex,geo\\TIME_PERIOD\t2010\nA,T,AT11\t1\n")
+    with pytest.raises(ValueError):
+        read_wide_tsv(spark, str(tmp_path))
+
+
+def test_wide_sheet_keeps_all_columns(spark, write):
+    names = HEADER.split(",")[:6] + [f"Y_{1850 + i}" for i in range(140)]
+    line = ["CH4", "AT", "Austria", "AT11", "Burgenland", "Energy"] + [str(i) for i in range(140)]
+    sheet = read_sheet(spark, write("w.csv", "\n".join(["preamble,x", "", ",".join(names), ",".join(line)]) + "\n"))
+    assert sheet.columns == names + [SOURCE_ORDER] and sheet.count() == 1
+    assert sheet.first()["Y_1989"] == "139"
+
+
+def test_rows_without_a_code_are_dropped(spark, write):
+    sheet = read_sheet(spark, write("n.csv", HEADER + "\n" + ",".join(["CH4", "AT", "Austria", "", "x", "Buildings"] + ["1"] * (len(HEADER.split(",")) - 6)) + "\n"))
+    assert tidy.emissions({"CH4_AR5": sheet}).count() == 0
+
+
+def test_broken_population_file_gives_way_to_candidates(spark, write, tmp_path):
+    long = spark.createDataFrame([("A", "NR", "T", "TOTAL", "AT11", "2001", "5")], "freq string, unit string, sex string, age string, geo string, TIME_PERIOD string, OBS_VALUE string")
+    for i, path in enumerate((str(tmp_path / "absent.tsv"), write("bad.tsv", "a\tb\n1\t2\n"))):
+        got = tidy.load_population(spark, str(tmp_path / f"p{i}"), path, {"long": long})
+        assert [tuple(r) for r in got.collect()] == [("AT11", 2001, 5.0)]
