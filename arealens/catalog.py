@@ -15,7 +15,9 @@ from . import bindings
 from .bindings import Sources
 from .plans import bi, correlation, curated, dashboard, merged, profile, reports, star, tidy, validate
 from .operators import preview, slice_rows
-from .sources import explode_features
+from .plans.warehouse import load_star
+from .schemas import SOURCE_ORDER
+from .sources import explode_features, read_features, read_sdmx_csv, read_sheets, read_wide_tsv
 from .sources.stored import coverage
 from .workspace import Workspace, workspace
 
@@ -68,6 +70,69 @@ _lazy("ingest_population_flagged")(lambda s: tidy.population(bindings.raw_popula
 _stored("ingest_emissions")(lambda w: tidy.emissions(bindings.raw_emission_sheets(w.emissions)))
 
 
+# The same plans over files: the raw layouts of all rows, written by Spark and read by the readers.
+
+
+def _written(w: Workspace, name: str, df: DataFrame, **options) -> str:
+    """The path of a delimited text copy of a raw layout, blanks kept."""
+    path = w.scratch(name)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, **blanks, **options).csv(path)
+    return path
+
+
+def _unordered(df: DataFrame) -> DataFrame:
+    return df.drop(SOURCE_ORDER)
+
+
+@_stored("scan_wide_tsv")
+def _scan_wide_tsv(w: Workspace) -> DataFrame:
+    path = _written(w, "causes.tsv", bindings.raw_causes(w.causes), sep="\t")
+    return _unordered(tidy.causes_of_death(read_wide_tsv(w.spark, path)))
+
+
+@_stored("scan_sdmx_csv")
+def _scan_sdmx_csv(w: Workspace) -> DataFrame:
+    path = _written(w, "population.csv", bindings.raw_population_long(w.population))
+    return _unordered(tidy.population(read_sdmx_csv(w.spark, path)))
+
+
+@_stored("scan_sheets")
+def _scan_sheets(w: Workspace) -> DataFrame:
+    sheets = bindings.raw_emission_sheets(w.emissions)
+    # A sheet is one file; its rows are regions and sectors, not source rows.
+    paths = {name: _written(w, f"sheet{i}.csv", df.coalesce(1)) for i, (name, df) in enumerate(sheets.items())}
+    return _unordered(tidy.emissions(read_sheets(w.spark, paths)))
+
+
+@_stored("scan_geojson")
+def _scan_geojson(w: Workspace) -> DataFrame:
+    path = w.scratch("regions.geojsonl")
+    explode_features(w.sources.features).write.mode("overwrite").json(path)
+    shapes = dashboard.region_features(read_features(w.spark, path, lines=True))
+    return shapes.select("nuts_id", F.col("properties")["LEVL_CODE"].cast("int").alias("level"), F.col("geometry.type").alias("shape"))
+
+
+@_stored("load_or_build_population")
+def _load_or_build_population(w: Workspace) -> DataFrame:
+    path = _written(w, "population.tsv", bindings.raw_population(w.population), sep="\t")
+    stored = w.scratch("population-stored")
+    tidy.load_population(w.spark, stored, path, force_refresh=True)
+    # The second call finds the stored table and reads no raw file.
+    return _unordered(tidy.load_population(w.spark, stored, None))
+
+
+@_stored("star_stamped")
+def _star_stamped(w: Workspace) -> DataFrame:
+    """Rows and stamped rows of every table of a full, stamped load."""
+    star = load_star(w.spark, w.tidy, w.scratch("star"))
+    parts = [
+        df.select(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"), F.count("created_date").alias("n_stamped"))
+        for name, df in star.tables().items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @_lazy("population_coverage")
 def _population_coverage(s: Sources) -> DataFrame:
     """What the choice between candidate population sources is based on."""

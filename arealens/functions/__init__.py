@@ -3,11 +3,9 @@
 from .codes import (
     decade,
     icd10_is_respiratory,
-    is_blank,
     is_leap_year,
     level_name,
     parse_measure,
-    parse_year,
     region_level,
     region_code,
     title_label,
@@ -36,11 +34,9 @@ __all__ = [
     "icd10_description",
     "icd10_is_respiratory",
     "icd10_name",
-    "is_blank",
     "is_leap_year",
     "level_name",
     "parse_measure",
-    "parse_year",
     "pearson",
     "per_100k",
     "per_capita_tonnes",

@@ -23,15 +23,6 @@ def region_code(text: Column) -> Column:
     return F.upper(strip(text))
 
 
-def is_blank(text: Column) -> Column:
-    return text.isNull() | (text == "")
-
-
-def parse_year(text: Column) -> Column:
-    """The four digit year inside a header such as ``2010 ``, ``Y_2010`` or ``2010_value``."""
-    return F.regexp_extract(text, r"([0-9]{4})", 1).try_cast("int")
-
-
 def parse_measure(text: Column) -> Column:
     """Cell text to double; the missing mark and flagged cells such as ``12.3 b`` become NULL.
 

@@ -10,23 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import exact_avg, round_half_even, title_label
 from ..operators import columns_like, rows_from_columns, slice_rows, top_and_bottom
 
-# Selectable metrics, label -> column.
-MAP_METRICS = {
-    "Total emissions (kt CO₂-eq)": "total_emissions_kt",
-    "Per-capita emissions (tonnes)": "emissions_per_capita_tonnes",
-    "COPD mortality rate (per 100k)": "cod_copd_rate",
-    "Asthma mortality rate (per 100k)": "cod_asthma_rate",
-    "Respiratory discharges (per 100k)": "discharge_all_resp_per_100k",
-}
-HEALTH_METRICS = {
-    "All respiratory mortality (per 100k)": "cod_all_resp_rate",
-    "COPD mortality (per 100k)": "cod_copd_rate",
-    "Asthma mortality (per 100k)": "cod_asthma_rate",
-    "Respiratory discharges (per 100k)": "discharge_all_resp_per_100k",
-    "COPD discharges (per 100k)": "discharge_copd_per_100k",
-}
-
-
 def with_region_labels(curated: DataFrame) -> DataFrame:
     """Add the label (code where unnamed) and the display form ``code · label``."""
     label = F.coalesce("nuts_label", "nuts_id")

@@ -21,7 +21,6 @@ from ..functions import (
     icd10_description,
     icd10_is_respiratory,
     icd10_name,
-    is_blank,
     is_leap_year,
     per_100k,
     region_level,

@@ -46,22 +46,20 @@ def year_range(star: Star) -> DataFrame:
 def orphans(star: Star) -> DataFrame:
     """Fact rows without a dimension row, per fact and foreign key.
 
-    Each fact is first counted per key value, so the anti-joins only see distinct keys.
+    Each fact is read once: counted per combination of its keys, which then look up all dimensions.
     """
     tables = star.tables()
     parts = []
     for fact in FACTS:
-        for key, dim in FOREIGN_KEYS.items():
-            if key not in tables[fact].columns:
-                continue
-            per_key = tables[fact].groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-            missing = per_key.join(tables[dim].select(key), key, "left_anti")
-            parts.append(
-                missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_orphans")).select(
-                    F.lit(fact).alias("fact_name"), F.lit(key).alias("key_name"), "n_orphans"
-                )
-            )
-    return _union(parts)
+        keys = [key for key in FOREIGN_KEYS if key in tables[fact].columns]
+        counted = tables[fact].groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        for key in keys:
+            known = tables[FOREIGN_KEYS[key]].select(key).distinct().withColumn(f"_{key}", F.lit(True))
+            counted = counted.join(known, key, "left")
+        missing = [F.sum(F.when(F.col(f"_{key}").isNull(), F.col("_n")).otherwise(0)) for key in keys]
+        row = counted.agg(*[F.coalesce(n, F.lit(0)).alias(key) for n, key in zip(missing, keys)])
+        parts.append(row.unpivot([], keys, "key_name", "n_orphans").withColumn("fact_name", F.lit(fact)))
+    return _union(parts).select("fact_name", "key_name", "n_orphans")
 
 
 def grain_duplicates(star: Star) -> DataFrame:

@@ -28,27 +28,37 @@ from .sources.stored import read_table, write_table
 
 class Workspace:
     def __init__(self, spark: SparkSession, folder: str, version: int = 0):
-        self._spark = spark
+        self.spark = spark
         self.sources = Sources(spark, folder)
         shared = spark.conf.get("spark.checkpoint.dir", None)
         name = f"arealens-{spark.sparkContext.applicationId}-{zlib.crc32(folder.encode()):08x}-{version}"
         self._root = shared and f"{shared.rstrip('/')}/{name}"
+        self._files = f"{(shared or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{name}-files"
         self._persisted: list[DataFrame] = []
         if self._root:
-            path = spark._jvm.org.apache.hadoop.fs.Path(self._root)
-            files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-            files.mkdirs(path)
-            files.deleteOnExit(path)
+            self._folder(self._root)
+
+    def _folder(self, root: str) -> None:
+        """A folder that goes when the session ends."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
     def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if self._root:
             path = f"{self._root}/{name}"
             write_table(build(), path)
-            return read_table(self._spark, path)
+            return read_table(self.spark, path)
         kept = build().persist(StorageLevel.MEMORY_AND_DISK)
         self._persisted.append(kept)
         return kept
 
+    def scratch(self, name: str) -> str:
+        """Path of a file that a query writes to read it back; it goes when the session ends."""
+        self._folder(self._files)
+        return f"{self._files}/{name}"
+
     def release(self) -> None:
         """Give back what was persisted."""
         for df in self._persisted:

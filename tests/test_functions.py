@@ -26,10 +26,6 @@ def test_region_codes_lose_blanks_and_case(spark):
     ]
 
 
-def test_year_from_headers(spark):
-    assert evaluate(spark, ["2010 ", "Y_1990", "2004_value", "x"], "string", fn.parse_year) == [2010, 1990, 2004, None]
-
-
 def test_measures_drop_missing_and_flagged_cells(spark):
     cells = ["61.2 ", ": ", "58.9 b", "12d", "12f", "1_000", "-3", "+.5", "1e3", "5.", "", None, "inf", " 7 ", "1e999"]
     expected = [61.2, None, None, None, None, None, -3.0, 0.5, 1000.0, 5.0, None, None, None, 7.0, None]
@@ -48,10 +44,6 @@ def test_calendar(spark):
     assert evaluate(spark, years, "int", fn.decade) == [1900, 1990, 1990, 2000, 2020]
 
 
-def test_blank(spark):
-    assert evaluate(spark, ["", None, " ", "x"], "string", fn.is_blank) == [True, True, False, False]
-
-
 def test_title_label(spark):
     build = lambda c: fn.title_label(c, ("emissions_", "_kt"))
     assert evaluate(spark, ["emissions_energy_kt", "emissions_land_use_kt"], "string", build) == ["Energy", "Land Use"]
