@@ -7,6 +7,7 @@ orders for death rates, events for discharges. The same derivation is written in
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,7 +50,7 @@ class Sources:
         self._folder = folder
         self._tables: dict[str, DataFrame] = {}
 
-    def _table(self, name: str) -> DataFrame:
+    def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
         return self._tables[name]
@@ -65,8 +66,8 @@ class Sources:
             F.char(65 + F.col("n_regionkey")), F.char(65 + F.col("n_nationkey")), digit(1, 3), digit(3, 3), digit(9, 4)
         )
         return (
-            self._table("customer")
-            .join(self._table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+            self.table("customer")
+            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .select(
                 "c_custkey",
                 "n_nationkey",
@@ -81,15 +82,15 @@ class Sources:
         What is shuffled per line item is kept small: gas and sector travel as numbers, the country
         as its key, and their names are attached to the added-up rows.
         """
-        lines = self._table("lineitem").select(
+        lines = self.table("lineitem").select(
             "l_orderkey",
             "l_partkey",
             F.col("l_extendedprice").cast("decimal(18,2)").alias("_kt"),
             F.year("l_shipdate").alias("year"),
             _case("l_returnflag", {"R": 0, "A": 1}, 2).alias("_gas"),
         )
-        orders = self._table("orders").select("o_orderkey", "o_custkey")
-        parts = self._table("part").select("p_partkey", _case("p_type", _SECTOR_OF_TYPE, 5).alias("_sector"))
+        orders = self.table("orders").select("o_orderkey", "o_custkey")
+        parts = self.table("part").select("p_partkey", _case("p_type", _SECTOR_OF_TYPE, 5).alias("_sector"))
         places = self.regions.select("c_custkey", "nuts_id", "n_nationkey")
         located = orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select(
             "o_orderkey", "nuts_id", "n_nationkey"
@@ -102,7 +103,7 @@ class Sources:
             .agg(F.sum("_kt").cast("double").alias("emissions_kt_co2e"))
         )
         sector = F.col("_sector")
-        names = self._table("nation").select("n_nationkey", F.col("n_name").alias("country_name"))
+        names = self.table("nation").select("n_nationkey", F.col("n_name").alias("country_name"))
         return totals.join(names, "n_nationkey").select(
             "nuts_id",
             F.when(F.length("nuts_id") > 2, F.concat(F.lit("Region "), F.col("nuts_id"))).alias("nuts_label"),
@@ -123,7 +124,7 @@ class Sources:
         priority = F.substring("o_orderpriority", 1, 1)
         codes = {"1": "J", "2": "J12-J18", "3": "J40-J44_J47", "4": "I20-I25"}
         return (
-            self._table("orders")
+            self.table("orders")
             .join(places, F.col("o_custkey") == F.col("c_custkey"))
             .select(
                 F.col("o_orderkey").alias(SOURCE_ORDER),
@@ -143,7 +144,7 @@ class Sources:
         places = self.regions.select("c_custkey", "nuts_id")
         codes = {"view": "J", "click": "J00-J11", "error": "J20-J22", "purchase": "J45_J46"}
         return (
-            self._table("events")
+            self.table("events")
             .join(places, F.col("user_id") == F.col("c_custkey"))
             .select(
                 F.col("event_id").alias(SOURCE_ORDER),
@@ -166,7 +167,7 @@ class Sources:
         Customers are added up per region once; the few order years are then exploded per region.
         """
         years = (
-            self._table("orders")
+            self.table("orders")
             .select(F.year("o_orderdate").alias("y"))
             .distinct()
             .agg(F.array_sort(F.collect_list("y")))
@@ -205,6 +206,23 @@ class Sources:
         )
 
 
+# --- codes that reach every naming rule, spread over a key ----------------------------------------------
+
+# At least one code for each rule, and codes that no rule knows.
+RULE_CODES = (
+    "A-R_V-Y A-T_Z a-t_z A-T_Z_XNB J J_OTH J09-J11 J00-J11 J12-J18 J12-J18_OTH J20-J22 J40-J44 J40-J44_J47 J45_J46 J60-J99"
+    " A00-A08 A09 A15-A19_B90 A40_A41 B15-B19 B20-B24 A B C C_OTH C00-D48 D05 D50-D89 E10-E14 F00-F99 G20 H25-H26 H60-H95 H5 H"
+    " H96 I I20-I25 I20-I25_OTH I60-I69_OTH I30 K70 L M N O P Q R S T V X60 Y Z38 U UPRESPIR_OTH 1"
+).split()
+RULE_GASES = "CO2 carbon GWP_100_AR5_CH4 methane N2O nitrous F-GAS f_gas GWP_100_AR5_F-gases fluorinated SF6 xyz".split()
+
+
+def rule_codes(keys: DataFrame, key: str, codes: Sequence[str]) -> DataFrame:
+    """(code, n_rows): the codes dealt to the rows by their key."""
+    code = F.get(F.array(*[F.lit(c) for c in codes]), (F.col(key) % len(codes)).cast("int"))
+    return keys.groupBy(code.alias("code")).agg(F.count("*").alias("n_rows"))
+
+
 # --- raw layouts spread back from tidy rows, to run the ingest plans on ----------------------------
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from . import bindings
 from .bindings import Sources
 from .plans import bi, correlation, curated, dashboard, merged, profile, reports, star, tidy, validate
+from .functions import gas_info, icd10_category, icd10_description, icd10_is_respiratory, icd10_name
 from .operators import preview, slice_rows
 from .plans.warehouse import load_star
 from .schemas import SOURCE_ORDER
@@ -181,6 +182,21 @@ def _dim_time(w: Workspace) -> DataFrame:
     return star.with_availability(star.dim_time(w.tidy), s.fact_emissions, s.fact_causes_of_death, s.fact_population)
 
 
+@_lazy("icd10_rules")
+def _icd10_rules(s: Sources) -> DataFrame:
+    code = F.col("code")
+    named = bindings.rule_codes(s.table("part"), "p_partkey", bindings.RULE_CODES).withColumns(
+        {"name": icd10_name(code), "category": icd10_category(code), "is_respiratory": icd10_is_respiratory(code)}
+    )
+    return named.withColumn("description", icd10_description(F.col("name"), F.col("category")))
+
+
+@_lazy("gas_rules")
+def _gas_rules(s: Sources) -> DataFrame:
+    gases = bindings.rule_codes(s.table("part"), "p_partkey", bindings.RULE_GASES)
+    return gases.withColumn("_info", gas_info(F.col("code"))).select("code", "n_rows", "_info.*")
+
+
 _stored("fact_population")(lambda w: star.fact_population(w.population, w.star.dim_geography))
 _stored("fact_emissions")(
     lambda w: star.fact_emissions(w.emissions, w.star.dim_geography, w.star.dim_sector, w.star.dim_gas)

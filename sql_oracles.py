@@ -745,3 +745,75 @@ ORACLES |= {
     "load_or_build_population": ORACLES["ingest_population"],
     "star_stamped": f"SELECT table_name, n_rows, n_rows AS n_stamped FROM ({ORACLES['verify_counts']}) t",
 }
+
+# Naming rules as one CASE each, on codes dealt to the parts.
+_CODES = (
+    "A-R_V-Y A-T_Z a-t_z A-T_Z_XNB J J_OTH J09-J11 J00-J11 J12-J18 J12-J18_OTH J20-J22 J40-J44 J40-J44_J47 J45_J46 J60-J99"
+    " A00-A08 A09 A15-A19_B90 A40_A41 B15-B19 B20-B24 A B C C_OTH C00-D48 D05 D50-D89 E10-E14 F00-F99 G20 H25-H26 H60-H95 H5 H"
+    " H96 I I20-I25 I20-I25_OTH I60-I69_OTH I30 K70 L M N O P Q R S T V X60 Y Z38 U UPRESPIR_OTH 1"
+).split()
+_GASES = "CO2 carbon GWP_100_AR5_CH4 methane N2O nitrous F-GAS f_gas GWP_100_AR5_F-gases fluorinated SF6 xyz".split()
+
+
+def _dealt(codes: list[str]) -> str:
+    return f"SELECT ({codes!r})[1 + p_partkey % {len(codes)}] AS code, COUNT(*) AS n_rows FROM part GROUP BY 1"
+
+
+ORACLES |= {
+    "icd10_rules": f"""WITH c AS ({_dealt(_CODES)}),
+        p AS (SELECT *, regexp_replace(code, '_OTH$', '') AS stem, code[1] AS l,
+          CASE WHEN code LIKE '%\\_OTH' ESCAPE '\\' THEN ' (other)' ELSE '' END AS m FROM c),
+        h AS (SELECT *, CASE WHEN l = 'H' THEN TRY_CAST(nullif(regexp_extract(stem[2:3], '^[0-9]{{1,2}}$'), '') AS INT) END AS h FROM p),
+        n AS (SELECT *, CASE
+            WHEN code = 'A-R_V-Y' THEN 'All causes of death'
+            WHEN upper(code) = 'A-T_Z' THEN 'All diseases and health factors (A-T, Z)'
+            WHEN starts_with(code, 'A-T_Z') THEN 'All diseases and health factors (A-T, Z) - ' || substr(code, 7)
+            WHEN code = 'J' THEN 'All respiratory diseases'
+            WHEN code = 'J_OTH' THEN 'Other respiratory conditions'
+            WHEN stem = 'J00-J11' THEN 'Acute upper respiratory infections' || m
+            WHEN stem = 'J12-J18' THEN 'Pneumonia' || m
+            WHEN stem = 'J20-J22' THEN 'Other acute lower respiratory infections' || m
+            WHEN stem IN ('J40-J44', 'J40-J44_J47') THEN 'Chronic lower respiratory diseases (COPD)' || m
+            WHEN stem = 'J45_J46' THEN 'Asthma' || m
+            WHEN stem = 'J60-J99' THEN 'Other respiratory diseases' || m
+            WHEN starts_with(code, 'A00-A08') THEN 'Intestinal infectious diseases' || m
+            WHEN starts_with(code, 'A09') THEN 'Other gastroenteritis and colitis' || m
+            WHEN l IN ('A', 'B') AND contains(code, 'A15-A19') THEN 'Tuberculosis' || m
+            WHEN starts_with(code, 'A40_A41') THEN 'Sepsis' || m
+            WHEN l IN ('A', 'B') AND contains(code, 'B15-B19') THEN 'Viral hepatitis' || m
+            WHEN starts_with(code, 'B20-B24') THEN 'HIV disease' || m
+            WHEN starts_with(code, 'I20-I25') THEN 'Ischaemic heart diseases' || m
+            WHEN starts_with(code, 'I60-I69') THEN 'Cerebrovascular diseases' || m
+            WHEN stem = 'C' THEN 'All neoplasms' WHEN stem = 'I' THEN 'All circulatory diseases'
+            WHEN h < 60 THEN 'Diseases of eye and adnexa' || m
+            WHEN h <= 95 THEN 'Diseases of ear and mastoid process' || m
+            WHEN l IN ('J', 'A', 'B', 'C', 'D', 'I', 'K', 'L', 'M', 'N', 'O', 'P', 'Q', 'R', 'S', 'T', 'Z') THEN
+              CASE WHEN l = 'J' THEN 'Respiratory disease' WHEN l IN ('A', 'B') THEN 'Infectious disease'
+                WHEN l IN ('C', 'D') THEN 'Neoplasm' WHEN l = 'I' THEN 'Circulatory disease'
+                WHEN l = 'K' THEN 'Digestive disease' WHEN l = 'L' THEN 'Diseases of skin and subcutaneous tissue'
+                WHEN l = 'M' THEN 'Diseases of musculoskeletal system' WHEN l = 'N' THEN 'Diseases of genitourinary system'
+                WHEN l = 'O' THEN 'Pregnancy, childbirth and puerperium'
+                WHEN l = 'P' THEN 'Conditions originating in perinatal period' WHEN l = 'Q' THEN 'Congenital malformations'
+                WHEN l = 'R' THEN 'Symptoms, signs and abnormal findings'
+                WHEN l IN ('S', 'T') THEN 'Injury, poisoning and external causes'
+                ELSE 'Factors influencing health status' END || ' (' || code || ')'
+            ELSE code END AS name,
+          CASE WHEN code = 'A-R_V-Y' THEN 'all_causes' WHEN starts_with(upper(code), 'A-T_Z') THEN 'all_conditions'
+            WHEN stem = 'J' THEN 'all_respiratory' WHEN l = 'D' AND length(stem) <= 3 THEN 'neoplasms' WHEN l = 'D' THEN 'blood_immune'
+            WHEN h < 60 THEN 'eye_adnexa' WHEN h <= 95 THEN 'ear_mastoid' WHEN l = 'J' THEN 'respiratory'
+            WHEN l IN ('A', 'B') THEN 'infectious' WHEN l = 'C' THEN 'neoplasms' WHEN l = 'E' THEN 'endocrine_metabolic'
+            WHEN l = 'F' THEN 'mental_behavioural' WHEN l = 'G' THEN 'nervous_system' WHEN l = 'I' THEN 'circulatory'
+            WHEN l = 'K' THEN 'digestive' WHEN l = 'L' THEN 'skin_subcutaneous' WHEN l = 'M' THEN 'musculoskeletal'
+            WHEN l = 'N' THEN 'genitourinary' WHEN l = 'O' THEN 'pregnancy_childbirth' WHEN l = 'P' THEN 'perinatal'
+            WHEN l = 'Q' THEN 'congenital' WHEN l = 'R' THEN 'symptoms_signs' WHEN l IN ('S', 'T') THEN 'injury_poisoning'
+            WHEN l = 'Z' THEN 'health_factors' WHEN l IN ('V', 'W', 'X', 'Y') THEN 'external_causes' END AS category FROM h)
+        SELECT code, n_rows, name, category, CAST(l = 'J' AS INT) AS is_respiratory,
+          coalesce(name || ' (' || replace(category, '_', ' ') || ')', name) AS description FROM n""",
+    "gas_rules": f"""WITH c AS ({_dealt(_GASES)}),
+        k AS (SELECT *, CASE WHEN upper(code) LIKE '%CH4%' OR upper(code) LIKE '%METHANE%' THEN 1
+            WHEN upper(code) LIKE '%N2O%' OR upper(code) LIKE '%NITROUS%' THEN 2
+            WHEN regexp_matches(upper(code), 'F[-_]GAS|FLUORINATED') THEN 3
+            WHEN upper(code) LIKE '%CO2%' OR upper(code) LIKE '%CARBON%' THEN 4 END AS k FROM c)
+        SELECT code, n_rows, coalesce(['Methane', 'Nitrous Oxide', 'Fluorinated Gases', 'Carbon Dioxide'][k], code) AS gas_name,
+          ['CH₄', 'N₂O', 'F-gases', 'CO₂'][k] AS gas_formula, CAST([28, 265, 1000, 1][k] AS DOUBLE) AS gwp_ar5 FROM k""",
+}
