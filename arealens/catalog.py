@@ -209,7 +209,10 @@ _stored("fact_causes_standard")(
 )
 _stored("fact_discharges")(
     lambda w: star.fact_hospital_discharges(
-        w.discharges, w.star.dim_geography, w.star.dim_discharge_type, w.star.fact_population
+        w.discharges,
+        w.star.dim_geography,
+        w.star.dim_discharge_type,
+        star.population_by_key(w.population, w.star.dim_geography),
     )
 )
 _stored("vw_emissions")(lambda w: w.star.vw_emissions)

@@ -218,13 +218,17 @@ def _lookup(fact: DataFrame, dim: DataFrame, code: str, natural: str, key: str)
     return fact.join(dim.select(F.col(code).alias(natural), key), natural, "inner").drop(natural)
 
 
-def fact_population(population: DataFrame, geography: DataFrame) -> DataFrame:
+def population_by_key(population: DataFrame, geography: DataFrame) -> DataFrame:
+    """First population per region and year under the star's keys, unrounded."""
     rows = drop_null_codes(population, "geo", "year", "population")
     first = keep_first(rows, ["geo", "year"], "population")
     keyed = _lookup(first, geography, "nuts_id", "geo", "geography_id")
-    return keyed.select(
-        "geography_id", F.col("year").alias("time_id"), F.col("population").cast("bigint").alias("population")
-    )
+    return keyed.select("geography_id", F.col("year").alias("time_id"), "population")
+
+
+def fact_population(population: DataFrame, geography: DataFrame) -> DataFrame:
+    keyed = population_by_key(population, geography)
+    return keyed.withColumn("population", F.col("population").cast("bigint"))
 
 
 def fact_emissions(emissions: DataFrame, geography: DataFrame, sectors: DataFrame, gases: DataFrame) -> DataFrame:
@@ -269,7 +273,8 @@ def fact_hospital_discharges(
 ) -> DataFrame:
     """Discharges per region, year and type with the rate per 100 000 inhabitants.
 
-    ``populations`` is the population fact; without a population the rate is NULL.
+    ``populations`` has the unrounded population per key (``population_by_key``); without one the
+    rate is NULL.
     """
     keyed = _lookup(_health_rows(discharges, stratum, "discharges"), geography, "nuts_id", "nuts_id", "geography_id")
     keyed = _lookup(keyed, discharge_types, "discharge_code", "icd10_group", "discharge_type_id")

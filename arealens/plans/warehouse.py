@@ -109,7 +109,7 @@ class Star:
                 self._rows.discharges,
                 self.dim_geography,
                 self.dim_discharge_type,
-                self.fact_population,
+                star.population_by_key(self._rows.population, self.dim_geography),
                 self._stratum,
             ),
         )

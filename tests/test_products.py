@@ -418,3 +418,15 @@ def test_dashboard_tables(board):
     table = dashboard.comparison(year, "cod_all_resp_rate", "cod_copd_rate").collect()
     assert [r["cod_all_resp_rate"] for r in table] == [65.0, None]
     assert [r["region_display"] for r in dashboard.region_options(board).collect()] == ["AT11 · Burgenland", "AT12 · "]
+
+
+def test_rates_use_the_unrounded_population(spark):
+    geography = spark.createDataFrame([("AT11", 1)], "nuts_id string, geography_id int")
+    kinds = spark.createDataFrame([("J", 1)], "discharge_code string, discharge_type_id int")
+    people = spark.createDataFrame([("AT11", 2000, 3.5)], "geo string, year int, population double")
+    row = ("AT11", 2000, "A", "INPAT", "NR", "T", "TOTAL", "J", 7.0)
+    discharges = spark.createDataFrame([row], DISCHARGES)
+    exact = star.population_by_key(people, geography)
+    fact = star.fact_hospital_discharges(discharges, geography, kinds, exact).first()
+    assert fact["discharge_rate_per_100k"] == 200000.0
+    assert star.fact_population(people, geography).first()["population"] == 3
