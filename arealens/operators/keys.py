@@ -30,7 +30,8 @@ def dense_ids(df: DataFrame, code: str, id_column: str, prefix_length: int = 2)
 
     Codes are numbered inside their prefix, and each prefix starts after the codes of all smaller
     prefixes. Only one row per prefix goes through the single-task running sum. The codes are
-    referenced twice; both references need the same rows and columns of the distinct step before,
+    referenced twice (a prefix meets in one task: choose its length so that a prefix has few codes, as
+    they are the keys of a dimension); both references need the same rows and columns of the distinct step before,
     so Spark runs that step, and the scan under it, once.
     """
     prefix = "_prefix"

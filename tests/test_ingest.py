@@ -447,3 +447,13 @@ def test_broken_population_file_gives_way_to_candidates(spark, write, tmp_path):
     for i, path in enumerate((str(tmp_path / "absent.tsv"), write("bad.tsv", "a\tb\n1\t2\n"))):
         got = tidy.load_population(spark, str(tmp_path / f"p{i}"), path, {"long": long})
         assert [tuple(r) for r in got.collect()] == [("AT11", 2001, 5.0)]
+
+
+def test_candidate_years_come_from_the_headers(spark, tmp_path):
+    head = "freq string, sex string, unit string, age string, `geo\\TIME_PERIOD` string"
+    cells = ", ".join(f"`{y}_value` double, `{y}_flag` string" for y in (1999, 2000, 2014))
+    # Its early columns are empty, but they are there.
+    sparse = spark.createDataFrame([("A", "T", "NR", "TOTAL", "AT11", None, None, None, None, 5.0, "p")], f"{head}, {cells}")
+    other = spark.createDataFrame([("A", "NR", "T", "TOTAL", "AT12", "2013", "7")], "freq string, unit string, sex string, age string, geo string, TIME_PERIOD string, OBS_VALUE string")
+    got = tidy.load_population(spark, str(tmp_path / "p"), None, {"other": other, "sparse": sparse}, default="other")
+    assert [tuple(r) for r in got.collect()] == [("AT11", 2014, 5.0)]
