@@ -28,7 +28,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from .scratch import Scratch, pick
 
@@ -100,17 +99,16 @@ def _describe(words: int, bands: int, rows: int):
 
 
 def _full_sets(texts: DataFrame, words: int) -> DataFrame:
-    """(doc_id, node, n, shingles) of the rows (doc_id, node, n, set_id, text) whose text has that set."""
+    """(node, n, shingles) of the rows (node, n, set_id, text) whose text has that set."""
 
     def full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_set(t, words) for t in batch["text"]]
             same = [xxhash.xxh3_128_digest(s.tobytes()) == bytes(i) for s, i in zip(sets, batch["set_id"])]
-            own = batch[["doc_id", "node", "n"]].assign(shingles=[s.view(np.int64) for s in sets])
+            own = batch[["node", "n"]].assign(shingles=[s.view(np.int64) for s in sets])
             yield own[np.array(same, bool)]
 
-    schema = StructType([texts.schema[c] for c in ("doc_id", "node", "n")] + [StructField("shingles", ArrayType(LongType()))])
-    return texts.select("doc_id", "node", "n", "set_id", "text").mapInPandas(full, schema)
+    return texts.select("node", "n", "set_id", "text").mapInPandas(full, "node long, n long, shingles array<long>")
 
 
 def _similar(overlap: Column, n: Column, m: Column, percent: int) -> Column:
@@ -218,10 +216,12 @@ def _grouped(docs: DataFrame, words: int, percent: int, bands: int, rows: int) -
     described = docs.select("doc_id", _text_id("text"), _describe(words, bands, rows)(F.col("text")).alias("_d"))
     described = scratch.keep(described.select("doc_id", "text_id", "_d.*"), "described")
 
-    # One node per distinct set; the sort-based aggregate drops copies before the shuffle.
+    # One node per distinct set, with the first of its rows; the sort-based aggregate drops copies before the shuffle.
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_id")
     one = described.filter("n > 0").groupBy("set_id").agg(
-        F.first("n").alias("n"), F.first("buckets").alias("buckets"), F.min("doc_id").alias("doc_id")
+        F.first("n").alias("n"), F.first("buckets").alias("buckets"), F.min(row).alias("row")
     )
+    one = one.select("set_id", "n", "buckets", "row.doc_id", "row.text_id")
     nodes = scratch.keep(one.select(F.monotonically_increasing_id().alias("node"), "*"), "nodes")
     placed = nodes.select(F.explode("buckets").alias("bucket"), "node", "n")
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
@@ -238,15 +238,13 @@ def _grouped(docs: DataFrame, words: int, percent: int, bands: int, rows: int) -
     stars = scratch.keep(stars, "stars")
     scratch.drop("sizes", "crowd", "ranked", "centres")
 
-    # Full sets of the nodes that share a bucket with another, from their rows; without a doc_id, by the set.
-    wanted = nodes.select("node", "n", "set_id", "doc_id").join(members.select("node").distinct(), "node")
-    named = wanted.filter("doc_id is not null").withColumnRenamed("doc_id", "_id")
-    named = docs.filter("doc_id is not null").join(named, F.col("doc_id") == F.col("_id")).drop("_id")
-    unnamed = wanted.filter("doc_id is null").drop("doc_id").withColumnRenamed("set_id", "_of")
-    nameless = docs.filter("doc_id is null").select("doc_id", "text", _describe(words, bands, rows)(F.col("text"))["set_id"].alias("set_id"))
-    unnamed = nameless.join(unnamed, F.col("_of") == F.col("set_id")).drop("_of")
-    sets = _full_sets(named.unionByName(unnamed), words)
-    sets = scratch.keep(sets.dropDuplicates(["doc_id", "node"]).drop("doc_id"), "sets")
+    # Full sets of the nodes that share a bucket with another, each from its first row, by id and text:
+    # an id alone may be that of many rows.
+    wanted = nodes.select("node", "n", "set_id", F.col("doc_id").alias("_id"), F.col("text_id").alias("_text"))
+    wanted = wanted.join(members.select("node").distinct(), "node")
+    here = docs.withColumn("text_id", _text_id("text"))
+    texts = here.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_id") == F.col("_text")))
+    sets = scratch.keep(_full_sets(texts, words).dropDuplicates(["node"]), "sets")
 
     links = scratch.keep(_confirmed(stars, sets, percent), "links")
     labels = components(links, scratch, "labels")

@@ -498,8 +498,8 @@ def test_near_duplicates_awkward(spark, awkward):
     for r in found:
         by_id[r.doc_id].add((r.n_shingles, r.component_id, r.kept))
     assert by_id[0] == by_id[1] - {(0, 1, True)} | {(0, 0, True)} == {(0, 0, True)} and by_id[2] == {(0, 2, True)}
-    assert by_id[4] == {(11, 4, True)} and by_id[5] == by_id[6] == {(11, 4, False)} and by_id[8] == {(1, 7, False)}
-    assert by_id[None] == {(11, 4, False), (0, None, True), (4, None, True)}
+    assert by_id[4] == {(12, 4, True)} and by_id[5] == by_id[6] == {(12, 4, False)} and by_id[8] == {(1, 7, False)}
+    assert by_id[None] == {(12, 4, False), (0, None, True), (4, None, True)}
     assert near_dup.near_duplicates(empty(spark)).collect() == []
     kept = near_dup.one_of_each(awkward)
     assert kept.columns == awkward.columns
