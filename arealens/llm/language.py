@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .scratch import pick
 
 UNDETERMINED = "und"
-BLOCK = 1 << 20
+BLOCK = 1 << 18  # bytes that descend the trie together
 
 
 @dataclass
@@ -200,8 +200,8 @@ def identify(docs: DataFrame, model: ContextTrees | None) -> DataFrame:
             score = np.zeros(len(batch))
             texts = batch.tolist()
             known = [i for i, t in enumerate(texts) if t and model and any(map(str.isalpha, t))]
-            for low in range(0, len(known), 256):
-                some = known[low : low + 256]
+            for low in range(0, len(known), 64):
+                some = known[low : low + 64]
                 bits = code_lengths(model, [_bytes(texts[i]) for i in some])
                 share = np.exp2(np.maximum(bits.min(1)[:, None] - bits, -1000)).sum(1)
                 language[some] = np.array(model.languages, object)[bits.argmin(1)]

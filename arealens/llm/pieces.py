@@ -302,15 +302,30 @@ def decoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return docs.withColumn("decoded_text", _decode(vocabulary)(docs["token_ids"]))
 
 
+def _both(vocabulary: Vocabulary):
+    @F.pandas_udf("token_ids array<int>, round_trip boolean")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(vocabulary)
+        for texts in batches:
+            known = [t for t in texts if t is not None]
+            ids = iter(encoder.encode(known))
+            rows = [None if t is None else next(ids) for t in texts]
+            same = [i is None or decode_ids(vocabulary, i) == t for i, t in zip(rows, texts)]
+            yield pd.DataFrame({"token_ids": pd.Series(rows, dtype=object), "round_trip": same})
+
+    return both
+
+
 def pieces_query(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, token_ids, n_tokens and whether decoding gave the text back, for every row of (doc_id, text).
 
-    A null text has null ids and counts as given back.
+    A null text has null ids and counts as given back. Ids are decoded where they were made: they do
+    not travel to a second worker.
     """
-    found = decoded(encoded(docs.select(docs["doc_id"], docs["text"]), vocabulary), vocabulary)
+    found = docs.select(docs["doc_id"], _both(vocabulary)(docs["text"]).alias("_b")).select("doc_id", "_b.*")
     return found.select(
         "doc_id",
         F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"),
         "token_ids",
-        F.col("decoded_text").eqNullSafe(F.col("text")).alias("round_trip"),
+        "round_trip",
     )

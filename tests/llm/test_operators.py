@@ -154,6 +154,10 @@ def test_pieces_round_trip(spark, docs, awkward, vocabulary):
     for table in (docs, awkward):
         rows = pieces.pieces_query(table, vocabulary).collect()
         assert len(rows) == table.count() and all(r.round_trip for r in rows)
+    # The same by the two operators one after the other.
+    apart = pieces.decoded(pieces.encoded(awkward, vocabulary), vocabulary)
+    assert apart.filter("not decoded_text <=> text").count() == 0
+    assert Counter((r.doc_id, str(r.token_ids)) for r in apart.collect()) == Counter((r.doc_id, str(r.token_ids)) for r in rows)
     nothing = [r for r in rows if r.doc_id in (0, 1)]
     assert [(r.n_tokens, r.token_ids) for r in nothing] == [(0, None), (0, [])]
     assert pieces.pieces_query(empty(spark), vocabulary).collect() == []
