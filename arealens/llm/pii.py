@@ -3,8 +3,8 @@
 The patterns give the base spans: e-mail and IP addresses, card and telephone numbers. The random
 field labels the tokens that could be personal data, those with a digit or an at sign. Each token has
 a unary potential from its shape. Neighbouring tokens, and tokens however far apart that repeat or
-resemble each other, share pairwise potentials; loopy message passing then makes labels consistent
-over the document. So a number that stands in a telephone number at one place is found where it
+resemble each other, share pairwise potentials; loopy message passing, until messages settle, then makes
+labels consistent over the document. So a number that stands in a telephone number at one place is found where it
 stands alone. Base spans are observed labels; tokens outside them whose most likely label is a kind
 become further spans.
 
@@ -114,10 +114,11 @@ class Graph:
         self.shapes: list[str] = []
         self.near: list[tuple[int, int]] = []
         self.far: list[tuple[int, int]] = []
+        self.repeats: list[tuple[int, int]] = []  # each with the one before, for the potentials
         if not base and not ("@" in text or _DIGIT.search(text)):
             return
         spans = sorted((start, end, LABELS.index(kind)) for kind, start, end in base)
-        last: dict[str, int] = {}
+        having: dict[str, list[int]] = defaultdict(list)
         at = 0
         for m in _TOKEN.finditer(text):
             low, high = _core(m.group())
@@ -133,15 +134,26 @@ class Graph:
             self.shapes.append(_shape(token))
             if me and start - self.tokens[me - 1][1] <= 3:
                 self.near.append((me - 1, me))
-            # Repeats: the same text, or the same digits. One edge to the last such token keeps them linear.
+            # Repeats: the same text, or the same digits.
             keys = {token.lower()}
             digits = "".join(_DIGIT.findall(token))
             if len(digits) >= 4:
                 keys.add(digits)
-            for key in keys:
-                if key in last and last[key] != me:
-                    self.far.append((last[key], me))
-                last[key] = me
+            for key in sorted(keys):
+                having[key].append(me)
+        for same in having.values():
+            self.repeats += zip(same, same[1:])
+            # An observed kind reaches every repeat at once, the last before it or else the first after it.
+            # Without one each is tied to the repeat before. So edges stay linear.
+            known = next((i for i in same if self.labels[i]), None)
+            if known is None:
+                self.far += zip(same, same[1:])
+                continue
+            for me in same:
+                if self.labels[me]:
+                    known = me
+                else:
+                    self.far.append((known, me))
 
 
 class Field:
@@ -150,34 +162,52 @@ class Field:
     def __init__(self, shape: dict[str, np.ndarray], prior: np.ndarray, near: np.ndarray, far: np.ndarray):
         self.shape, self.prior, self.near, self.far = shape, prior, near, far
 
-    def decode(self, graphs: list[Graph], rounds: int = 12) -> list[np.ndarray]:
-        """Most likely label of every token of every graph; all graphs pass messages together."""
+    def decode(self, graphs: list[Graph], settled: float = 1e-3) -> list[np.ndarray]:
+        """Most likely label of every token of every graph; all graphs pass messages together.
+
+        A graph is done when no message of it moves by more than ``settled``. Steps become smaller, so
+        that messages which swing come to rest. The bound of the rounds is for those that never do: a
+        graph has more than a message needs from its one end to the other.
+        """
         sizes = [len(g.tokens) for g in graphs]
         first = np.concatenate([[0], np.cumsum(sizes)]).astype(int)
         unary = np.array([self.shape.get(s, self.prior) for g in graphs for s in g.shapes]).reshape(-1, len(LABELS))
         seen = np.array([label for g in graphs for label in g.labels], int)
         # An observed kind is certain.
-        unary[seen > 0] = -30.0
+        unary[seen > 0] = -np.inf
         unary[np.flatnonzero(seen), seen[seen > 0]] = 0.0
         belief = unary.copy()
         near = np.concatenate([np.array(g.near, int).reshape(-1, 2) + low for g, low in zip(graphs, first)])
         far = np.concatenate([np.array(g.far, int).reshape(-1, 2) + low for g, low in zip(graphs, first)])
         ends = np.concatenate([near, far])
         table = np.concatenate([np.repeat(self.near[None], len(near), 0), np.repeat(self.far[None], len(far), 0)])
-        if len(ends):
-            source = np.concatenate([ends[:, 0], ends[:, 1]])
-            target = np.concatenate([ends[:, 1], ends[:, 0]])
-            table = np.concatenate([table, table.transpose(0, 2, 1)])
-            back = np.concatenate([np.arange(len(ends)) + len(ends), np.arange(len(ends))])
-            message = np.zeros((len(source), len(LABELS)))
-            for _ in range(rounds):
-                out = table + (belief[source] - message[back])[:, :, None]
-                peak = out.max(1, keepdims=True)
-                new = np.log(np.exp(out - peak).sum(1)) + peak[:, 0]
-                new -= new.max(1, keepdims=True)
-                message = 0.5 * message + 0.5 * new
-                belief = unary.copy()
-                np.add.at(belief, target, message)
+        source = np.concatenate([ends[:, 0], ends[:, 1]])
+        target = np.concatenate([ends[:, 1], ends[:, 0]])
+        table = np.concatenate([table, table.transpose(0, 2, 1)])
+        back = np.concatenate([np.arange(len(ends)) + len(ends), np.arange(len(ends))])
+        owner = np.repeat(np.arange(len(graphs)), sizes)[target]
+        message = np.zeros((len(source), len(LABELS)))
+        rounds = 0
+        while len(source):
+            out = table + (belief[source] - message[back])[:, :, None]
+            peak = out.max(1, keepdims=True)
+            new = np.log(np.exp(out - peak).sum(1)) + peak[:, 0]
+            new -= new.max(1, keepdims=True)
+            # Observed tokens send messages and take none.
+            new[seen[target] > 0] = 0.0
+            moved = np.zeros(len(graphs))
+            np.maximum.at(moved, owner, np.abs(new - message).max(1))
+            step = 0.5 if rounds < 50 else 25.0 / rounds
+            message = (1 - step) * message + step * new
+            belief[target] = unary[target]
+            np.add.at(belief, target, message)
+            rounds += 1
+            # Messages of a graph that is done stay as they are, whatever the others still do.
+            going = ((moved > settled) & (rounds < np.add(sizes, 100)))[owner]
+            if not going.all():
+                place = np.cumsum(going) - 1
+                back = place[back[going]]
+                source, target, table, owner, message = (x[going] for x in (source, target, table, owner, message))
         best = belief.argmax(1)
         return [best[low:high] for low, high in zip(first, first[1:])]
 
@@ -203,8 +233,8 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             graph = Graph(text, base_spans(text))
             for shape, label in zip(graph.shapes, graph.labels):
                 found["shape", shape, label, 0] += 1
-            for edges in ("near", "far"):
-                for a, b in getattr(graph, edges):
+            for edges, pairs in (("near", graph.near), ("far", graph.repeats)):
+                for a, b in pairs:
                     found[edges, "", graph.labels[a], graph.labels[b]] += 1
         rows = [(*key, n) for key, n in found.items()]
         yield pd.DataFrame(rows, columns=["what", "shape", "a", "b", "n"])

@@ -323,6 +323,38 @@ def test_repeats_of_a_number_are_found(docs):
     assert [text[a:b] for _, a, b in more] == ["555-6503"] and more[0][0] == "phone"
 
 
+@pytest.mark.parametrize("repeats", [2, 15, 200])
+def test_every_repeat_of_a_number_is_found(docs, repeats):
+    """However often it stands there, before or after the full number, and whatever the others weigh."""
+    size = len(pii.LABELS)
+    far = np.full((size, size), -3.0)
+    np.fill_diagonal(far, pii.AGREEMENT)
+    cautious = pii.Field({}, np.array([0.0] + [-2.0] * (size - 1)), np.zeros((size, size)), far)
+    bare = ["and it was 5556503"] * repeats
+    for parts in (["Call +1 499 5556503 or so", *bare], [*bare, "Call +1 499 5556503 or so"]):
+        text = " . ".join(parts)
+        base = pii.base_spans(text)
+        graph = pii.Graph(text, base)
+        more = [s for s in pii.all_spans(text, base, graph, cautious.decode([graph])[0]) if s not in base]
+        assert [(kind, text[a:b]) for kind, a, b in more] == [("phone", "5556503")] * repeats
+        assert len(graph.far) == repeats
+        # Other graphs that pass messages beside it change nothing.
+        others = [pii.Graph(t, pii.base_spans(t)) for t in ("1 2 3 1 2 3 " * 40, "", "a1 b2 a1")]
+        model = pii.fit(docs)
+        for field in (cautious, model):
+            alone, among = field.decode([graph])[0], field.decode([*others, graph])[3]
+            assert alone.tolist() == among.tolist()
+
+
+def test_observed_kinds_are_not_outvoted():
+    size = len(pii.LABELS)
+    near = np.full((size, size), 0.0)
+    near[0, 0] = 40.0
+    field = pii.Field({}, np.array([0.0] + [-2.0] * (size - 1)), near, np.eye(size) * pii.AGREEMENT)
+    graph = pii.Graph("7 1.2.3.4 8", pii.base_spans("7 1.2.3.4 8"))
+    assert field.decode([graph])[0].tolist() == [0, pii.LABELS.index("ip"), 0]
+
+
 def test_masking(spark, docs):
     rows = [(1, "mail a.b@c.org or 1.2.3.4"), (2, None), (3, "nothing"), (4, "")]
     table = spark.createDataFrame(rows, "doc_id long, text string")
