@@ -42,11 +42,14 @@ class Item:
     masks: dict[str, int]  # of each character, the positions where the item has it
 
 
-def make_item(item_id, text: str | None, rate: float, piece: int) -> Item | None:
+def make_item(item_id, text: str | None, rate: float, piece: int | None = None) -> Item | None:
+    """The item with a budget of ``rate`` of its characters; with ``piece``, less where pieces would be shorter."""
     own = words_of(text)
     if not own:
         return None
-    budget = max(0, min(int(rate * len(own)), len(own) // piece - 1))
+    budget = int(rate * len(own))
+    if piece:
+        budget = max(0, min(budget, len(own) // piece - 1))
     masks: dict[str, int] = defaultdict(int)
     for i, c in enumerate(own):
         masks[c] |= 1 << i
@@ -135,7 +138,7 @@ def _windows(offsets: list[int], budget: int) -> Iterator[tuple[int, int]]:
     yield low, high
 
 
-def _blocks(benchmark: DataFrame, rate: float, piece: int, whole: int, block_chars: int) -> Iterator[Matcher]:
+def _blocks(benchmark: DataFrame, rate: float, piece: int | None, whole: int, block_chars: int) -> Iterator[Matcher]:
     """The benchmark in blocks of about ``block_chars`` characters, so that one fits a task however many there are."""
     items = pick(benchmark, "item_id", "text").filter("text is not null").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -168,14 +171,14 @@ def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
     rate: float = 0.08,
-    piece: int = 14,
+    piece: int | None = None,
     whole: int = 24,
     block_chars: int = 4_000_000,
 ) -> DataFrame:
     """(doc_id, item_id, distance, first_word): the test items that each document contains.
 
-    An item of m characters may differ by ``min(rate * m, m / piece - 1)`` edits, rounded down, so that
-    pieces keep ``piece`` characters. Items below ``whole`` characters only match a document that is
+    An item of m characters may differ by ``rate * m`` edits, rounded down. With ``piece`` it may differ
+    by ``m / piece - 1`` at most, so that pieces keep ``piece`` characters. Items below ``whole`` characters only match a document that is
     nothing else. Null or empty texts and items match nothing; of repeated items with one id each
     different text counts. The row has the best place of the item in the document, the first of
     equals; repeated documents have rows each.
@@ -197,7 +200,7 @@ def decontaminated(
     docs: DataFrame,
     benchmark: DataFrame,
     rate: float = 0.08,
-    piece: int = 14,
+    piece: int | None = None,
     whole: int = 24,
     block_chars: int = 4_000_000,
 ) -> DataFrame:

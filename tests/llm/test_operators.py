@@ -438,6 +438,23 @@ def test_decontamination(spark, docs, awkward):
     assert decontaminate.decontaminated(awkward, tests).columns == awkward.columns
 
 
+def test_the_rate_alone_sets_the_budget(spark):
+    """Copies with as many edits as the rate allows are found at every length; one more edit is too many."""
+    random.seed(8)
+    items = {m: "".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(m)) for m in (24, 25, 40, 80, 81, 250, 700)}
+    rows = []
+    for m, item in items.items():
+        for edits in (8 * m // 100, 8 * m // 100 + 1):
+            places = [m * (2 * e + 1) // (2 * edits) for e in range(edits)]
+            changed = "".join("0" if i in places else c for i, c in enumerate(item))
+            rows.append((10 * m + (edits > 8 * m // 100), f"before {changed} after"))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    tests = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.leaks(table, tests).collect()}
+    assert got == {(10 * m, m, 8 * m // 100) for m in items}
+    assert decontaminate.decontaminated(table, tests).count() == len(items)
+
+
 # --- secrets -----------------------------------------------------------------------------------------
 
 
