@@ -3,17 +3,18 @@
 Every run of k words of every document is hashed and joined to the places of equal runs in license
 templates. A hit votes for its diagonal, the document's word number less the template's: a passage
 that follows the template puts all its votes on one diagonal, and each word put in or left out moves
-it by one. Votes are summed by diagonal, neighbouring diagonals are merged, and the span that the
-votes cover is verified word by word against the template.
+it by one. Votes are summed by diagonal, neighbouring diagonals are merged, and the whole extent that
+the template would have on them is verified word by word. Short templates also vote by shorter runs.
 
 Words are runs of digits, letters and non-ASCII characters, with A-Z in lower case.
 """
 
 from __future__ import annotations
 
-import difflib
+import math
+from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -68,6 +69,15 @@ TEMPLATES = (
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
 
+# Words without which a short notice names another license or version.
+NAMES = {
+    "apache-2.0": "apache 2",
+    "cc-by-nc-4.0": "nc 4",
+    "cc-by-sa-4.0": "sa 4",
+    "cc-by-4.0": "4",
+    "mit-release": "mit",
+}
+
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_WORDS).split()
@@ -88,10 +98,43 @@ def gram_hashes(words: list[bytes], k: int) -> np.ndarray:
 class Template:
     label: str
     words: list[bytes]
+    names: frozenset[bytes] = field(default_factory=frozenset)
+
+
+def templates(pairs=TEMPLATES, names=NAMES) -> list[Template]:
+    return [Template(label, words_of(text), frozenset(words_of(names.get(label)))) for label, text in pairs]
 
 
-def templates(pairs=TEMPLATES) -> list[Template]:
-    return [Template(label, words_of(text)) for label, text in pairs]
+def seeds(words: list[bytes], k: int, accept: float) -> list[tuple[int, int, int]]:
+    """(length, hash, place) of runs by which a template is looked for.
+
+    These are all runs of k words. Where as many changed words as ``accept`` leaves could break each of
+    them, also the template's pieces, one more than that: each change or insertion breaks one at most.
+    """
+    found = {(k, int(g), place) for place, g in enumerate(gram_hashes(words, k))}
+    count = len(words) - math.ceil(accept * len(words) - 1e-9) + 1
+    if k * count > len(words):
+        cuts = [len(words) * i // count for i in range(count + 1)]
+        for low, high in zip(cuts, cuts[1:]):
+            if low < high < low + k:
+                found.add((high - low, int(gram_hashes(words[low:high], high - low)[0]), low))
+    return sorted(found)
+
+
+def in_order(template: list[bytes], span: list[bytes]) -> tuple[int, int]:
+    """How many words of the template the span has in order at most, and after how many words it has them."""
+    masks: dict[bytes, int] = defaultdict(int)
+    for i, word in enumerate(template):
+        masks[word] |= 1 << i
+    full = rest = (1 << len(template)) - 1
+    best, end = 0, 0
+    for at, word in enumerate(span, 1):
+        if word in masks:
+            same = rest & masks[word]
+            rest = ((rest + same) | (rest - same)) & full
+            if len(template) - rest.bit_count() > best:
+                best, end = len(template) - rest.bit_count(), at
+    return best, end
 
 
 def base_places(words: list[bytes], phrases=PHRASES) -> list[tuple[int, str]]:
@@ -110,13 +153,23 @@ def base_places(words: list[bytes], phrases=PHRASES) -> list[tuple[int, str]]:
     return found
 
 
-def _grams(k: int):
-    @F.pandas_udf("array<long>")
-    def grams(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _hits(grams: dict[int, np.ndarray]):
+    """Places of a text's runs of each length that are among ``grams``, which are sorted."""
+
+    @F.pandas_udf("array<struct<at: long, gram: long>>")
+    def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def row(words: list[bytes]) -> list[dict]:
+            found = []
+            for k, known in grams.items():
+                own = gram_hashes(words, k)
+                at = np.flatnonzero(known[np.searchsorted(known[:-1], own)] == own)
+                found += [{"at": int(i), "gram": int(own[i])} for i in at]
+            return found
+
         for texts in batches:
-            yield pd.Series([gram_hashes(words_of(t), k) for t in texts])
+            yield pd.Series([row(words_of(t)) for t in texts])
 
-    return grams
+    return hits
 
 
 def _base(phrases):
@@ -142,18 +195,21 @@ def _base(phrases):
 
 
 def _verify(known: list[Template]):
-    @F.pandas_udf("double")
-    def verify(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("score double, start long, end long")
+    def verify(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         for texts, numbers, low, high in batches:
-            scores = []
+            found = []
             last, words = None, []
             for text, number, a, b in zip(texts, numbers, low, high):
                 if text is not last:
                     last, words = text, words_of(text)
-                span, own = words[max(0, a) : b], known[number].words
-                same = difflib.SequenceMatcher(None, own, span, autojunk=False).get_matching_blocks()
-                scores.append(sum(m.size for m in same) / len(own))
-            yield pd.Series(scores, dtype=float)
+                a, own = max(0, a), known[number].words
+                same, end = in_order(own, words[a:b])
+                # Backwards from there, where the nearest such words begin.
+                start = end - in_order(own[::-1], words[a : a + end][::-1])[1]
+                named = known[number].names <= set(words[a + start : a + end])
+                found.append((same / len(own) if named else 0.0, a + start, a + end))
+            yield pd.DataFrame(found, columns=["score", "start", "end"]).astype({"score": float, "start": int, "end": int})
 
     return verify
 
@@ -163,45 +219,44 @@ def find_notices(
 ) -> DataFrame:
     """(doc_id, text_id, label, start, end, score) of every span of words that follows a template.
 
-    ``score`` is the share of the template's words that the span has in order, at least ``accept``.
-    Diagonals no more than ``gap`` apart are one span. Templates below k words are an error. Rows with
+    ``score`` is the share of the template's words that the span has in order, at least ``accept``. The
+    span must have the template's names. It is looked for where the template would be on the diagonals
+    of its hits, and ``gap`` words to both sides; one hit is enough. Diagonals no more than ``gap``
+    apart are one span. Templates below k words are an error. Rows with
     the same doc_id and text have their spans once; text_id is a hash of the text.
     """
     known = templates() if known is None else known
     if any(len(t.words) < k for t in known):
         raise ValueError(f"a template has fewer than {k} words")
     docs = pick(docs, "doc_id", "text").filter("text is not null")
-    places = [
-        (int(g), number, place) for number, t in enumerate(known) for place, g in enumerate(gram_hashes(t.words, k))
-    ]
+    places = [(g, number, place, n) for number, t in enumerate(known) for n, g, place in seeds(t.words, k, accept)]
+    grams = {n: np.unique(np.array([g for g, *_, m in places if m == n], np.int64)) for n in sorted({p[-1] for p in places})}
     # As large as the templates, which are a parameter and not data.
-    index = F.broadcast(docs.sparkSession.createDataFrame(places, "gram long, template int, place int"))
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.posexplode(_grams(k)(F.col("text"))).alias("at", "gram"))
+    index = F.broadcast(docs.sparkSession.createDataFrame([p[:3] for p in places], "gram long, template int, place int"))
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.explode(_hits(grams)(F.col("text"))).alias("_hit"))
     votes = (
-        keyed.join(index, "gram")
-        .groupBy("doc_id", "text_id", "template", (F.col("at") - F.col("place")).alias("diagonal"))
-        .agg(F.count("*").alias("votes"), F.min("at").alias("low"), F.max("at").alias("high"))
+        keyed.select("doc_id", "text_id", "_hit.at", "_hit.gram")
+        .join(index, "gram")
+        .select("doc_id", "text_id", "template", (F.col("at") - F.col("place")).alias("diagonal"))
+        .distinct()
     )
     # Neighbouring diagonals: a step of more than the gap begins a new span.
     group = "partition by doc_id, text_id, template order by diagonal"
     stepped = votes.select("*", F.expr(f"cast(diagonal - lag(diagonal) over ({group}) > {gap} as int)").alias("step"))
     numbered = stepped.select("*", F.expr(f"coalesce(sum(step) over ({group}), 0)").alias("span"))
+    size = F.array(*[F.lit(len(t.words)) for t in known])[F.col("template")]
     spans = numbered.groupBy("doc_id", "text_id", "template", "span").agg(
-        F.sum("votes").alias("votes"), F.min("low").alias("low"), (F.max("high") + k).alias("high")
+        (F.min("diagonal") - gap).alias("low"), (F.max("diagonal") + F.first(size) + gap).alias("high")
     )
-    size = F.array(*[F.lit(len(t.words)) for t in known])[F.col("template")]
-    # A span with fewer votes than this can't have enough words in order.
-    spans = spans.filter(F.col("votes") >= F.greatest(F.lit(1), F.ceil(size * (1 - k * (1 - accept)) - k + 1)))
     # Few as a rule, and stored, so that Spark knows their size before it joins the texts.
     spans = Scratch(docs.sparkSession, "licenses").keep(spans, "spans")
     spans = spans.withColumnsRenamed({"doc_id": "_id", "text_id": "_text"})
     here = docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text")
     joined = here.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_id") == F.col("_text")))
-    scored = joined.withColumn("score", _verify(known)(F.col("text"), F.col("template"), F.col("low"), F.col("high")))
+    checked = _verify(known)(F.col("text"), F.col("template"), F.col("low"), F.col("high"))
+    scored = joined.select("doc_id", "text_id", "template", checked.alias("_v"))
     label = F.array(*[F.lit(t.label) for t in known])[F.col("template")].alias("label")
-    found = scored.filter(F.col("score") >= accept).select(
-        "doc_id", "text_id", label, F.col("low").alias("start"), F.col("high").alias("end"), "score"
-    )
+    found = scored.select("doc_id", "text_id", label, "_v.start", "_v.end", "_v.score").filter(F.col("score") >= accept)
     return found.dropDuplicates(["doc_id", "text_id", "label", "start"])
 
 

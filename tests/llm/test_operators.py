@@ -89,6 +89,53 @@ def test_licenses(spark, docs, awkward):
     assert labels == {100: "mit-text", 101: "gpl,gpl-notice", 102: "", 103: "mit"}
 
 
+def test_short_notices_with_one_edit(spark):
+    """One inserted and one changed word at each place of each short template; another name is another license."""
+    rows, wanted = [], {}
+    for label, text in licenses.TEMPLATES:
+        words = [w.decode() for w in licenses.words_of(text)]
+        if len(words) > 20:
+            continue
+        names = licenses.NAMES.get(label, "").split()
+        for at in range(len(words)):
+            for changed in (words[:at] + ["zz"] + words[at:], words[:at] + ["zz"] + words[at + 1 :]):
+                wanted[len(rows)] = label, len(changed) > len(words) or words[at] not in names
+                rows.append((len(rows), f"a b c d e {' '.join(changed)} f g h i j"))
+    found = licenses.find_notices(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(i, label) for i, (label, named) in wanted.items() if named} <= {(r.doc_id, r.label) for r in found}
+    assert not {(i, label) for i, (label, named) in wanted.items() if not named} & {(r.doc_id, r.label) for r in found}
+
+
+def test_labels_of_near_notices(spark):
+    own = [
+        ("Licensed under the CC BY-SA 4.0", "cc-by-sa-4.0", 1, 9),
+        ("licensed under a CC BY-NC 4.0", "cc-by-nc-4.0", 1, 9),
+        ("Licensed under Apache License, Version 2.0", "apache-2.0", 1, 8),
+        ("Licensed under CC BY-ND 4.0", None, 0, 0),
+        ("Licensed under the Mozilla Public License, Version 2.0", None, 0, 0),
+        ("Released under the BSD License", None, 0, 0),
+    ]
+    table = spark.createDataFrame([(i, f"x {t} y") for i, (t, *_) in enumerate(own)], "doc_id long, text string")
+    got = {r.doc_id: (r.label, r.start, r.end) for r in licenses.find_notices(table).collect()}
+    assert got == {i: (label, a, b) for i, (_, label, a, b) in enumerate(own) if label}
+    # A long notice with a word put in after every third one has all words and few runs of four.
+    words = dict(licenses.TEMPLATES)["gpl-notice"].split()
+    loose = " ".join(w + " zz" * (i % 3 == 2 and i > 4) for i, w in enumerate(words[:12])) + " " + " ".join(words[12:])
+    assert [r.score for r in licenses.find_notices(spark.createDataFrame([(1, loose)], "doc_id long, text string")).collect()] == [1.0]
+
+
+def test_words_in_order():
+    random.seed(9)
+    for _ in range(200):
+        a, b = ([random.choice([b"x", b"y", b"z"]) for _ in range(random.randint(1, 12))] for _ in range(2))
+        rows = [[0] * (len(b) + 1)]
+        for w in a:
+            rows.append([0])
+            for j, v in enumerate(b):
+                rows[-1].append(max(rows[-2][j + 1], rows[-1][j], rows[-2][j] + (v == w)))
+        assert licenses.in_order(a, b) == (rows[-1][-1], rows[-1].index(rows[-1][-1]))
+
+
 # --- chat formatting ---------------------------------------------------------------------------------
 
 
