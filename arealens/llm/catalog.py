@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import ORACLE as CHAT_SQL
 from .chat import chat_query
 from .decontaminate import leaks
+from .embed_dup import embedding_query
 from .extract import extraction_query
 from .language import language_query
 from .licenses import license_query
@@ -50,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": _over("documents", "benchmark")(leaks),
         "op9_secrets": _over("documents")(secrets_query),
         "op10_near_dup": _over("documents")(near_duplicates),
+        "op11_embed_dup": _over("embeddings")(embedding_query),
     }
 
 
