@@ -11,6 +11,8 @@ from .chat import chat_query
 from .decontaminate import leaks
 from .embed_dup import embedding_query
 from .extract import extraction_query
+from .fim import ORACLE as FIM_SQL
+from .fim import fim_query
 from .language import language_query
 from .licenses import license_query
 from .near_dup import near_duplicates
@@ -52,8 +54,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_secrets": _over("documents")(secrets_query),
         "op10_near_dup": _over("documents")(near_duplicates),
         "op11_embed_dup": _over("embeddings")(embedding_query),
+        "op12_fim": _over("documents")(fim_query),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": CHAT_SQL, "op7_quality_rules": QUALITY_SQL}
+    return {"op2_chat_format": CHAT_SQL, "op7_quality_rules": QUALITY_SQL, "op12_fim": FIM_SQL}
