@@ -20,6 +20,7 @@ from .pii import pii_query
 from .pieces import load_vocabulary, pieces_query
 from .quality import ORACLE as QUALITY_SQL
 from .quality import quality_query
+from .repair import repair_query
 from .scratch import small_batches
 from .secret_scan import secrets_query
 
@@ -55,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_near_dup": _over("documents")(near_duplicates),
         "op11_embed_dup": _over("embeddings")(embedding_query),
         "op12_fim": _over("documents")(fim_query),
+        "op13_conv_repair": _over("conversations")(repair_query),
     }
 
 
