@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import DIMENSIONS, FACTS
-from ..sources.stored import read_table, write_table
+from ..sources.stored import Versions, read_table, write_table
 from . import star
 from .star import Tidy
 
@@ -160,22 +160,29 @@ def load_star(
     stamp: bool = True,
     by_year: bool = False,
 ) -> Star:
-    """Full refresh of all star tables under ``root``.
+    """Full refresh of all star tables under ``root``, as one ``Versions`` commit.
 
-    Whole tables are replaced, so a load can be repeated. Each table is read back from its files:
+    Whole tables are replaced, so a load can be repeated; readers see the new star only once all of
+    its tables are written, and a load that fails leaves the whole earlier star. Each table is read back from its files:
     later joins then know its size, and a lost executor costs a re-read, not a recomputation.
     ``by_year`` lays the facts out in one folder per year, for facts large enough to fill them; year
     filters then skip whole folders.
     """
 
+    versions = Versions(spark, root)
+    version = versions.begin()
+
     def store(name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        path = f"{root}/{name}"
+        path = versions.path(version, name)
         write_table(build(), path, stamp, partition_by=("time_id",) if by_year and name in FACTS else ())
         return read_table(spark, path)
 
-    return Star(tidy, level_only, stratum, keep=store).load()
+    star = Star(tidy, level_only, stratum, keep=store).load()
+    versions.commit(version)
+    return star
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
-    """The star stored under ``root``, for query sessions."""
-    return Star(None, keep=lambda name, build: read_table(spark, f"{root}/{name}"))
+    """The last whole star stored under ``root``, for query sessions."""
+    versions = Versions(spark, root)
+    return Star(None, keep=lambda name, build: versions.read(name))

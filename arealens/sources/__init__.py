@@ -8,7 +8,7 @@ from .raw import (
     read_wide_tsv,
     with_source_order,
 )
-from .stored import choose_by_coverage, load_or_build, read_table, write_table
+from .stored import Versions, choose_by_coverage, load_or_build, read_table, write_table
 
 __all__ = [
     "choose_by_coverage",
@@ -19,6 +19,7 @@ __all__ = [
     "read_sheet",
     "read_sheets",
     "read_table",
+    "Versions",
     "read_wide_tsv",
     "with_source_order",
     "write_table",

@@ -457,3 +457,16 @@ def test_candidate_years_come_from_the_headers(spark, tmp_path):
     other = spark.createDataFrame([("A", "NR", "T", "TOTAL", "AT12", "2013", "7")], "freq string, unit string, sex string, age string, geo string, TIME_PERIOD string, OBS_VALUE string")
     got = tidy.load_population(spark, str(tmp_path / "p"), None, {"other": other, "sparse": sparse}, default="other")
     assert [tuple(r) for r in got.collect()] == [("AT11", 2014, 5.0)]
+
+
+def test_failed_refresh_keeps_the_stored_table(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    good = spark.createDataFrame([("AT11", 1), ("AT", 1)], "geo string, v int")
+    assert load_or_build(spark, path, lambda: good).count() == 2
+
+    def broken():
+        return good.select("geo", F.raise_error(F.lit("source lost")).alias("v"))
+
+    with pytest.raises(Exception):
+        load_or_build(spark, path, broken, force_refresh=True).count()
+    assert sorted(tuple(r) for r in load_or_build(spark, path, lambda: good.limit(0)).collect()) == [("AT", 1), ("AT11", 1)]

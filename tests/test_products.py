@@ -430,3 +430,36 @@ def test_rates_use_the_unrounded_population(spark):
     fact = star.fact_hospital_discharges(discharges, geography, kinds, exact).first()
     assert fact["discharge_rate_per_100k"] == 200000.0
     assert star.fact_population(people, geography).first()["population"] == 3
+
+
+def test_failed_load_leaves_the_whole_old_star(spark, sources, tmp_path, monkeypatch):
+    import arealens.plans.warehouse as warehouse
+    from arealens.sources import Versions
+
+    root = str(tmp_path / "star")
+    load_star(spark, sources, root, stamp=False)
+    before = {name: df.count() for name, df in read_star(spark, root).tables().items()}
+    first = Versions(spark, root).current()
+    written = []
+    real_write = warehouse.write_table
+
+    def dies_after_two(df, path, *args, **kwargs):
+        if len(written) == 2:
+            raise RuntimeError("executor lost")
+        written.append(path)
+        real_write(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(warehouse, "write_table", dies_after_two)
+    smaller = Tidy(sources.emissions.limit(1), sources.causes.limit(1), sources.discharges.limit(1), sources.population.limit(1))
+    with pytest.raises(RuntimeError):
+        load_star(spark, smaller, root, stamp=False)
+    monkeypatch.setattr(warehouse, "write_table", real_write)
+    # Two tables of the new load are on disk, but readers still see the whole first star.
+    assert len(written) == 2 and Versions(spark, root).current() == first
+    assert {name: df.count() for name, df in read_star(spark, root).tables().items()} == before
+    # The next whole load replaces it, and only the last two versions stay.
+    load_star(spark, smaller, root, stamp=False)
+    load_star(spark, sources, root, stamp=False)
+    assert {name: df.count() for name, df in read_star(spark, root).tables().items()} == before
+    versions = Versions(spark, root)
+    assert len(versions._names("_committed")) == 2 and first not in versions._names("_v")
