@@ -157,24 +157,21 @@ SCHEMA = (
 )
 
 
-def _repair_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _one(conv_id, rows: pd.DataFrame) -> tuple:
     rows = rows.sort_values(["_null_turn", "turn", "role", "text"], ascending=[False, True, True, True], kind="stable")
     roles, texts = rows["role"].tolist(), rows["text"].tolist()
     found = faults(roles, texts)
     cost, audit, repaired = repair(roles, texts)
     digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in repaired).encode("utf-8")).hexdigest()
-    return pd.DataFrame(
-        {
-            "conv_id": [key[0]],
-            "blank": [found.count("blank")],
-            "duplicate": [found.count("duplicate")],
-            "truncated": [found.count("truncated")],
-            "illegal": [illegal_pairs(roles)],
-            "cost": [cost],
-            "audit": [audit],
-            "repaired_sha256": [digest],
-        }
-    ).astype({"conv_id": "Int64"})
+    counts = (found.count("blank"), found.count("duplicate"), found.count("truncated"), illegal_pairs(roles))
+    return (conv_id, *counts, cost, audit, digest)
+
+
+def _repair_groups(rows: pd.DataFrame) -> pd.DataFrame:
+    """Every conversation of a task, one after another."""
+    out = [_one(None if pd.isna(c) else c, g) for c, g in rows.groupby("conv_id", dropna=False, sort=False)]
+    names = ["conv_id", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    return pd.DataFrame(out, columns=names).astype({"conv_id": "Int64"})
 
 
 def damage(conversations: DataFrame) -> DataFrame:
@@ -210,18 +207,24 @@ def damage(conversations: DataFrame) -> DataFrame:
     )
 
 
-def repair_conversations(conversations: DataFrame) -> DataFrame:
+def repair_conversations(conversations: DataFrame, rows_per_task: int = 20000) -> DataFrame:
     """op13's result for every conv_id of ``conversations`` (null included, as its own conversation).
 
     Rows of a conversation are taken by turn, null turns first, ties by role and text. ``gaps`` is
     ``max - min + 1 - distinct`` over non-null turns after damage (0 if none); a conversation whose
     rows were all dropped has zeros, an empty audit and the digest of the empty string. Repeated rows
     are rows of their own (the later is a duplicate). Other columns are ignored; an empty table gives
-    an empty result.
+    an empty result. A task repairs whole conversations of about ``rows_per_task`` rows in turn.
     """
     damaged = damage(conversations).withColumn("_null_turn", F.col("turn").isNull())
-    repaired = damaged.select("conv_id", "_null_turn", "turn", "role", "text").groupBy("conv_id").applyInPandas(
-        _repair_group, SCHEMA
+    # Tasks of a bounded number of rows, each with whole conversations; the count is a cheap scan.
+    tasks = max(1, -(-2 * conversations.count() // rows_per_task))
+    task = F.pmod(F.xxhash64("conv_id"), F.lit(tasks))
+    repaired = (
+        damaged.select(task.alias("_task"), "conv_id", "_null_turn", "turn", "role", "text")
+        .repartition(tasks, "_task")
+        .groupBy("_task")
+        .applyInPandas(lambda rows: _repair_groups(rows.drop(columns="_task")), SCHEMA)
     )
     gaps = damaged.groupBy("conv_id").agg(
         F.coalesce(F.max("turn") - F.min("turn") + 1 - F.countDistinct("turn"), F.lit(0)).alias("gaps")
