@@ -1,10 +1,11 @@
 """Session workspace: tables derived from a data folder, built once and shared by the queries.
 
-Emission, population, curated and star tables are kept when a query first needs them, so the large
-sources are scanned and joined once per session instead of once per reference in a plan. With a
-folder in ``spark.checkpoint.dir`` they are written there and read back: later joins know the real
-table sizes, and lost executors re-read files. Without one they are persisted. Causes and discharges
-are as long as their sources and stay lazy.
+Emission, cause, discharge, population, curated and star tables are kept when a query first needs
+them, so the large sources are scanned and joined once per session instead of once per query or per
+reference in a plan. With a folder in ``spark.checkpoint.dir`` they are written there and read back:
+later joins know the real table sizes, and lost executors re-read files. Without one they are
+persisted. Causes and discharges are as long as their sources, so keeping them costs one copy; every
+fact, dimension, profile and set query that reads them then starts from that copy.
 
 The stored copy has a fixed name per application, ``arealens-<application id>-<folder>``, and goes
 when the session ends; after a killed driver the folder of that name can be deleted.
@@ -68,13 +69,13 @@ class Workspace:
     def emissions(self) -> DataFrame:
         return self._keep("emissions", lambda: self.sources.emissions)
 
-    @property
+    @cached_property
     def causes(self) -> DataFrame:
-        return self.sources.causes
+        return self._keep("causes", lambda: self.sources.causes)
 
-    @property
+    @cached_property
     def discharges(self) -> DataFrame:
-        return self.sources.discharges
+        return self._keep("discharges", lambda: self.sources.discharges)
 
     @cached_property
     def population(self) -> DataFrame:
