@@ -113,13 +113,15 @@ def read_sheet(spark: SparkSession, path: str, header_mark: str = "Substance") -
     files = _files(spark, path)
     if len(files) != 1:
         raise ValueError(f"a sheet is one file: {path}")
-    # A header line starts with its mark, quoted or not.
-    marked = F.ltrim(F.col("value"))
-    starts = marked.startswith(header_mark) | marked.startswith(f'"{header_mark}"')
-    lines = [next(csv.reader([r["value"]])) for r in spark.read.text(path).filter(starts).limit(100).collect()]
-    names = next((line for line in lines if line[0].strip() == header_mark), None)
-    if names is None:
+    # The header is the first line whose first cell, quoted or not, is the mark: found in Spark by the
+    # least source position, however many lines before it look alike.
+    first_cell = F.regexp_extract(F.col("value"), r'^\s*("(?:[^"]|"")*"|[^,]*)', 1)
+    unquoted = F.regexp_replace(F.regexp_replace(F.trim(first_cell), r'^"|"$', ""), '""', '"')
+    text = with_source_order(spark.read.text(path), files)
+    found = text.filter(F.trim(unquoted) == header_mark).orderBy(SOURCE_ORDER).select("value").first()
+    if found is None:
         raise ValueError(f"no row starting with {header_mark!r} in {path}")
+    names = next(csv.reader([found["value"]]))
     cells = [f"c{i}" for i in range(len(names))]
     raw = spark.read.csv(path, schema=", ".join(f"{c} string" for c in cells), header=False)
     raw = with_source_order(raw, files)

@@ -470,3 +470,11 @@ def test_failed_refresh_keeps_the_stored_table(spark, tmp_path):
     with pytest.raises(Exception):
         load_or_build(spark, path, broken, force_refresh=True).count()
     assert sorted(tuple(r) for r in load_or_build(spark, path, lambda: good.limit(0)).collect()) == [("AT", 1), ("AT11", 1)]
+
+
+def test_sheet_header_after_many_look_alike_lines(spark, write):
+    look_alike = "".join(f"Substances of group {k},x\nSubstance X{k},y\n\"Substance {k}\",z\n" for k in range(150))
+    quoted = SHEET.replace(HEADER, '"Substance"' + HEADER[len("Substance"):])
+    df = read_sheet(spark, write("many.csv", look_alike + quoted))
+    assert df.columns == HEADER.split(",") + [SOURCE_ORDER]
+    assert df.count() == 4
