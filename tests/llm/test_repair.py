@@ -120,3 +120,32 @@ def test_empty_table_and_clashing_columns(spark):
         [(1, 0, "user", "Hello.", "x", 1)], "conv_id long, turn long, role string, text string, audit string, _copy int"
     )
     assert sorted(tuple(r) for r in repair.repair_conversations(df).collect()) == plain([(1, 0, "user", "Hello.")])
+
+
+def query(spark, rows):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return {r["conv_id"]: r for r in repair.repair_query(df).collect()}
+
+
+def test_query_audit_has_the_initials_of_the_edit_names(spark):
+    # Damage (crc32 % 20) leaves the rows of conversation 4 as they are.
+    rows = [(4, 0, "user", "Hello."), (4, 1, "user", "Why?"), (4, 2, "user", " "), (4, 3, "assistant", "So.")]
+    assert all(zlib.crc32(f"{c}:{t}".encode()) % 20 > 4 for c, t, _, _ in rows)
+    got = query(spark, rows)[4]
+    # The blank row is deleted (4); an inserted assistant turn (3) is cheaper than a second deletion.
+    assert (got["cost"], got["audit"]) == (7, "KIKDK")
+    fixed = "user:Hello.\nassistant:\nuser:Why?\nassistant:So."
+    assert got["repaired_sha256"] == hashlib.sha256(fixed.encode()).hexdigest()
+
+
+def test_large_numbers_beside_nulls_stay_exact(spark):
+    big = 2**53
+    rows = [(None, 0, "user", "a."), (None, None, "user", "b.")]
+    for c in range(big, big + 40):
+        rows += [(c, t, r, f"{t}.") for t, r in ((big + 1, "assistant"), (big, "user"), (None, "system"))]
+    assert run(spark, rows) == plain(rows)
+
+
+def test_gaps_up_to_the_largest_turn(spark):
+    rows = [(c, t, "user", "a.") for c in range(20) for t in (0, 2**63 - 1)]
+    assert run(spark, rows) == plain(rows)
